@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,30 +51,9 @@ def bytes_text_to_unicode(value: Column, charset: str) -> Column:
 def apply_rules(value: Column, rules: Sequence[Rule]) -> Column:
     """Apply (found, replacement) rules one after another.
 
-    Neighbouring one-character rules become a single ``translate`` pass as long
-    as no later rule of the run would touch what an earlier one produced.
+    One replace per rule is faster on long texts than one translate for all.
     """
-    run: list[Rule] = []
-
-    def flush(text: Column) -> Column:
-        if not run:
-            return text
-        kept = [r for r in run if r[1]]
-        dropped = [r for r in run if not r[1]]
-        found = "".join(r[0] for r in kept + dropped)
-        put = "".join(r[1] for r in kept)
-        run.clear()
-        return F.translate(text, found, put)
-
-    for found, put in rules:
-        single = len(found) == 1 and len(put) <= 1
-        if not single or any(found in (f, p) for f, p in run):
-            value = flush(value)
-        if single:
-            run.append((found, put))
-        else:
-            value = F.replace(value, F.lit(found), F.lit(put))
-    return flush(value)
+    return reduce(lambda text, rule: F.replace(text, F.lit(rule[0]), F.lit(rule[1])), rules, value)
 
 
 def cleanse(value: Column, charset: str = "utf-8", rules: Sequence[Rule] | None = None) -> Column:

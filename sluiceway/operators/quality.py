@@ -22,6 +22,10 @@ HOT_ROWS = 100_000
 # of the rows and goes through the ordinary join.
 HOT_KEYS = 10_000
 
+# Repeated keys are broadcast whole up to these counted sizes.
+BROADCAST_KEYS = 500_000
+BROADCAST_BYTES = 32 * 2**20
+
 
 class RejectLimitExceeded(RuntimeError):
     """More rows were rejected than the job allows."""
@@ -33,6 +37,13 @@ class QualityTotals:
 
     total: int
     rejected: int
+    repeated_keys: int = 0
+    repeated_bytes: int = 0
+
+    @property
+    def few_repeats(self) -> bool:
+        """Whether the repeated keys, as counted, are small enough to broadcast."""
+        return self.repeated_keys <= BROADCAST_KEYS and self.repeated_bytes <= BROADCAST_BYTES
 
     @property
     def accepted(self) -> int:
@@ -61,9 +72,13 @@ def _key_is_null(keys: Sequence[str]) -> Column:
     return _any([column(k).isNull() for k in keys])
 
 
+def _key_text(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*map(column, keys)))
+
+
 def _digest(keys: Sequence[str]) -> Column:
     """A key of any width as 32 bytes that no two keys share."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*map(column, keys))), 256))
+    return F.unhex(F.sha2(_key_text(keys), 256))
 
 
 def _rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,15 +92,29 @@ def mark_repeated_keys(
     name: str = "repeated",
     hot_rows: int = HOT_ROWS,
     hot_keys: int = HOT_KEYS,
+    few_repeats: bool = False,
 ) -> DataFrame:
     """Add a boolean: does another row have the same key?  A NULL key repeats none.
 
     The repeated keys come from one pre-aggregated count and are joined back, so
-    no task ever holds all rows of a key.  Rows of the hottest keys are known by
-    a broadcast of bounded size; they, and rows with a NULL key, cross the join
-    spread by input partition instead of by key.
+    no task ever holds all rows of a key.
+
+    ``few_repeats`` says that the repeated keys were counted and are few: they
+    are broadcast, and the rows are not shuffled at all.  Otherwise the rows are
+    shuffled by key.  Rows of the hottest keys are then known by a broadcast of
+    bounded size; they, and rows with a NULL key, cross the join spread by input
+    partition instead of by key.
     """
     counts = _rows_per_key(df, keys)
+    places = [f"_key_{i}" for i in range(len(keys))]
+    repeated = counts.where(F.col("_rows") > 1).select(
+        *[column(k).alias(p) for k, p in zip(keys, places)], F.lit(0).alias("_repeat_spread")
+    )
+    same_key = [column(k) == F.col(p) for k, p in zip(keys, places)]
+    if few_repeats:
+        return df.join(F.broadcast(repeated), reduce(and_, same_key), "left").select(
+            *map(column, df.columns), F.col("_repeat_spread").isNotNull().alias(name)
+        )
     hot = (
         counts.where(F.col("_rows") >= F.lit(hot_rows))
         .where(F.col("_rows") > 1)
@@ -98,20 +127,15 @@ def mark_repeated_keys(
     )
     # Only the hash is a join key; the costlier digest is left to settle the few
     # rows the hash matches, hence a comparison Spark does not turn into a key.
-    same_digest = _digest(keys).between(F.col("_hot_digest"), F.col("_hot_digest"))
+    same_digest = F.array_contains(F.array("_hot_digest"), _digest(keys))
     is_hot = (F.xxhash64(*map(column, keys)) == F.col("_hot_hash")) & same_digest
     spread = F.when(
         F.col("_hot_hash").isNotNull() | _key_is_null(keys), F.spark_partition_id() + 1
     ).otherwise(0)
     # spark_partition_id gives a re-run task the same spread, unlike a random salt.
     rows = df.join(F.broadcast(hot), is_hot, "left").withColumn("_spread", spread)
-    places = [f"_key_{i}" for i in range(len(keys))]
-    repeated = counts.where(F.col("_rows") > 1).select(
-        *[column(k).alias(p) for k, p in zip(keys, places)], F.lit(0).alias("_repeat_spread")
-    )
-    same_key = [column(k) == F.col(p) for k, p in zip(keys, places)]
-    same_key = reduce(and_, same_key, F.col("_spread") == F.col("_repeat_spread"))
-    return rows.join(repeated, same_key, "left").select(
+    same_place = reduce(and_, same_key, F.col("_spread") == F.col("_repeat_spread"))
+    return rows.join(repeated, same_place, "left").select(
         *map(column, df.columns),
         (F.col("_hot_hash").isNotNull() | F.col("_repeat_spread").isNotNull()).alias(name),
     )
@@ -122,6 +146,7 @@ def flag_quality(
     keys: Sequence[str] = (),
     critical: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    few_repeats: bool = False,
 ) -> DataFrame:
     """Add the array of reasons why a row is bad; empty means good.
 
@@ -130,7 +155,7 @@ def flag_quality(
     """
     marked, reasons = df, [F.when(_is_blank(df, c), F.lit(f"blank:{c}")) for c in critical]
     if keys:
-        marked = mark_repeated_keys(df, keys, "_repeated", hot_rows)
+        marked = mark_repeated_keys(df, keys, "_repeated", hot_rows, few_repeats=few_repeats)
         reasons += [
             F.when(_key_is_null(keys), F.lit("null_key")),
             F.when(F.col("_repeated"), F.lit("repeated_key")),
@@ -139,32 +164,46 @@ def flag_quality(
     return marked.select(*map(column, df.columns), found.alias(REASONS))
 
 
+def _totals(df: DataFrame, keys: Sequence[str], critical: Sequence[str]) -> DataFrame:
+    blank = _any([_is_blank(df, c) for c in critical])
+    if not keys:
+        nothing = F.lit(0).cast("bigint")
+        return df.agg(
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(blank).alias("rejected"),
+            nothing.alias("repeated_keys"),
+            nothing.alias("repeated_bytes"),
+        )
+    per_key = df.groupBy(*map(column, keys)).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(blank).alias("_blank")
+    )
+    repeated = ~_key_is_null(keys) & (F.col("_rows") > 1)
+    whole = _key_is_null(keys) | (F.col("_rows") > 1)
+
+    def added_up(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return per_key.agg(
+        added_up(F.col("_rows")).alias("total"),
+        added_up(F.when(whole, F.col("_rows")).otherwise(F.col("_blank"))).alias("rejected"),
+        F.count_if(repeated).alias("repeated_keys"),
+        added_up(F.when(repeated, F.octet_length(_key_text(keys)))).alias("repeated_bytes"),
+    )
+
+
 def quality_counts(df: DataFrame, keys: Sequence[str] = (), critical: Sequence[str] = ()) -> DataFrame:
     """One row with total, rejected and accepted counts, without joining anything.
 
     Reads only key and critical columns; per key it carries a row count and a
     count of blank rows, which is all the totals need.
     """
-    blank = _any([_is_blank(df, c) for c in critical])
-    if keys:
-        per_key = df.groupBy(*map(column, keys)).agg(
-            F.count(F.lit(1)).alias("_rows"), F.count_if(blank).alias("_blank")
-        )
-        whole = _key_is_null(keys) | (F.col("_rows") > 1)
-        bad = F.when(whole, F.col("_rows")).otherwise(F.col("_blank"))
-        totals = per_key.agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(bad), F.lit(0)).alias("rejected"),
-        )
-    else:
-        totals = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(blank).alias("rejected"))
+    totals = _totals(df, keys, critical).select("total", "rejected")
     return totals.withColumn("accepted", F.col("total") - F.col("rejected"))
 
 
 def check_quality(df: DataFrame, keys: Sequence[str] = (), critical: Sequence[str] = ()) -> QualityTotals:
     """The totals as a value; one row reaches the driver."""
-    row = quality_counts(df, keys, critical).first()
-    return QualityTotals(total=row["total"], rejected=row["rejected"])
+    return QualityTotals(**_totals(df, keys, critical).first().asDict())
 
 
 def split_rejects(
@@ -175,13 +214,13 @@ def split_rejects(
 ) -> tuple[DataFrame, DataFrame, QualityTotals]:
     """Accepted rows, rejected rows with their reasons, and the totals.
 
-    The limit is judged on the totals, before either side is computed.
+    The limit is judged on the totals, before either side is computed.  The
+    totals also tell whether the repeated keys can be broadcast.
     """
     totals = check_quality(df, keys, critical)
     if limit_percent is not None:
         totals.require_at_most(limit_percent)
-    flagged = flag_quality(df, keys, critical)
+    flagged = flag_quality(df, keys, critical, few_repeats=totals.few_repeats)
     good = F.size(REASONS) == 0
-    if totals.rejected == 0:
-        return df, flagged.where(~good), totals
-    return flagged.where(good).drop(REASONS), flagged.where(~good), totals
+    accepted = df if totals.rejected == 0 else flagged.where(good).drop(REASONS)
+    return accepted, flagged.where(~good), totals

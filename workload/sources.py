@@ -186,7 +186,7 @@ CLEANSED = """
     WITH lines AS (
       SELECT unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))) AS line
       FROM documents
-    ), clean AS (SELECT {CLEANSED.format(text="line")} AS line FROM lines WHERE line <> '')
+    ), clean AS (SELECT {CLEANSED.format(text="line")} AS line FROM lines)
     SELECT substr(line, 1, 3) || '~|~' || substr(line, 4, 50) || '~|~' || substr(line, 54, 6) || '~|~' ||
            substr(line, 60, 50) || '~|~' || substr(line, 110, 6) || '~|~' || substr(line, 116, 50) AS value,
            count(*) AS copies
@@ -197,8 +197,7 @@ def raw_lines_to_delimited(spark, sf_dir):
     """Cleanse raw lines, cut them at fixed places, join the fields again."""
     path = staging_folder(spark, "raw-lines")
     table(spark, sf_dir, "documents").select("text").write.text(path)
-    lines = read_fixed_width(spark, path).where("col_1 <> ''")
-    return join_fields(lines).groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
+    return join_fields(read_fixed_width(spark, path)).groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query(
