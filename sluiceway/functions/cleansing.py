@@ -23,7 +23,7 @@ UTF8_RULES: tuple[Rule, ...] = (
 CP1252_RULES: tuple[Rule, ...] = (
     ("\u00e2\u0080\u0093", "-"),
     ("\u00c2\u00a0", " "),
-    ("\u00c3\u0083\u00c5\u0093", "\u00c3\u009c"),
+    ("\u00c3\u0083\u00c5\u0093", "\u00dc"),
     ("\u0096", "-"),
     ("\u0092", "'"),
     ("\u0094", ""),
@@ -43,9 +43,15 @@ def raw_bytes_as_text(value: Column) -> Column:
     return F.decode(value.cast("binary"), "ISO-8859-1")
 
 
-def bytes_text_to_unicode(value: Column, charset: str) -> Column:
-    """Back from one character per byte to the text those bytes spell."""
-    return F.decode(F.encode(value, "ISO-8859-1"), charset)
+def cp1252_characters(value: Column) -> Column:
+    """From one character per byte to the characters a cp1252 text means by them."""
+    found, meant = "", ""
+    for byte in range(0x80, 0xA0):
+        character = bytes([byte]).decode("cp1252", errors="ignore")
+        if character:
+            found, meant = found + chr(byte), meant + character
+    # Hardly a text has one of these left, and translating a long text is slow.
+    return F.when(value.rlike(f"[{found}]"), F.translate(value, found, meant)).otherwise(value)
 
 
 def apply_rules(value: Column, rules: Sequence[Rule]) -> Column:
@@ -56,13 +62,19 @@ def apply_rules(value: Column, rules: Sequence[Rule]) -> Column:
     return reduce(lambda text, rule: F.replace(text, F.lit(rule[0]), F.lit(rule[1])), rules, value)
 
 
-def cleanse(value: Column, charset: str = "utf-8", rules: Sequence[Rule] | None = None) -> Column:
+def cleanse(
+    value: Column,
+    charset: str = "utf-8",
+    rules: Sequence[Rule] | None = None,
+    raw: bool = True,
+) -> Column:
     """Cleanse one text column.
 
-    ``utf-8`` text is cleansed as characters.  ``cp1252`` text, as it comes out
-    of a reader that keeps raw bytes, is cleansed byte by byte and then decoded.
+    ``utf-8`` text is cleansed as characters.  ``cp1252`` text is cleansed byte
+    by byte and then decoded; it is ``raw`` when its reader kept the bytes, and
+    not when the reader already made one character of each byte.
     """
     rules = CHARSET_RULES[charset] if rules is None else rules
     if charset == "cp1252":
-        return bytes_text_to_unicode(apply_rules(raw_bytes_as_text(value), rules), "windows-1252")
+        return cp1252_characters(apply_rules(raw_bytes_as_text(value) if raw else value, rules))
     return apply_rules(value, rules)

@@ -19,9 +19,10 @@ def cleanse_columns(
     names: Sequence[str],
     charset: str = "utf-8",
     rules: Sequence[Rule] | None = None,
+    raw: bool = True,
 ) -> DataFrame:
     """Apply the character rules of a charset, or the given ones, to text columns."""
-    return df.withColumns({n: cleanse(column(n), charset, rules) for n in names})
+    return df.withColumns({n: cleanse(column(n), charset, rules, raw) for n in names})
 
 
 def cut_fields(

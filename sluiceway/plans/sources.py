@@ -53,18 +53,19 @@ def read_jdbc_module(spark: SparkSession, job: Job, module: Mapping[str, Any]) -
 def _read_file(spark: SparkSession, job: Job, props: Mapping[str, Any]) -> DataFrame:
     name = stamp_period(str(props.get("name") or ""), job.period or "")
     path = f"{str(props['path']).rstrip('/')}/{name}.{props.get('extension') or 'txt'}"
-    delimiter = props.get("delimiter") or DELIMITER
+    delimiter, header = props.get("delimiter") or DELIMITER, is_yes(props.get("header", "y"))
     clean = props.get("clean")
     if not _enabled(clean):
-        return read_delimited(spark, path, delimiter=delimiter, header=is_yes(props.get("header", "y")))
+        return read_delimited(spark, path, delimiter=delimiter, header=header)
     charset = str(clean.get("charset") or "utf-8")
     if clean.get("fields"):
         lines = cleanse_columns(spark.read.text(path), ["value"], charset)
         places = [(int(start), int(length)) for start, length in clean["fields"]]
         return cut_fields(lines, places, name_list(props.get("columns")) or None)
-    # cp1252 rules work on one character per byte, which is how the reader must decode.
-    rows = read_delimited(spark, path, delimiter=delimiter, header=is_yes(props.get("header", "y")))
-    return cleanse_columns(rows, rows.columns, charset)
+    # Byte rules need one character per byte, which is what this decoding gives.
+    encoding = "ISO-8859-1" if charset == "cp1252" else None
+    rows = read_delimited(spark, path, delimiter=delimiter, header=header, encoding=encoding)
+    return cleanse_columns(rows, rows.columns, charset, raw=False)
 
 
 def read_file_module(

@@ -36,6 +36,7 @@ def read_delimited(
     infer: bool = False,
     files: str | None = None,
     partitions: int | None = None,
+    encoding: str | None = None,
 ) -> DataFrame:
     """Read delimited text, plain or compressed.
 
@@ -45,6 +46,8 @@ def read_delimited(
     its rows before anything costly happens to them.
     """
     reader = spark.read.option("sep", delimiter).option("header", header)
+    if encoding:
+        reader = reader.option("encoding", encoding)
     if files:
         reader = reader.option("pathGlobFilter", files)
     if schema is not None:
