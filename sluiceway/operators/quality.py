@@ -93,6 +93,7 @@ def mark_repeated_keys(
     hot_rows: int = HOT_ROWS,
     hot_keys: int = HOT_KEYS,
     few_repeats: bool = False,
+    long_keys: bool = False,
 ) -> DataFrame:
     """Add a boolean: does another row have the same key?  A NULL key repeats none.
 
@@ -104,7 +105,15 @@ def mark_repeated_keys(
     shuffled by key.  Rows of the hottest keys are then known by a broadcast of
     bounded size; they, and rows with a NULL key, cross the join spread by input
     partition instead of by key.
+
+    ``long_keys`` compares SHA-256 digests, so that keys as long as whole texts
+    are not shuffled themselves.
     """
+    if long_keys:
+        digested = df.withColumn("_long_key", F.when(~_key_is_null(keys), _digest(keys)))
+        return mark_repeated_keys(
+            digested, ["_long_key"], name, hot_rows, hot_keys, few_repeats
+        ).drop("_long_key")
     counts = _rows_per_key(df, keys)
     places = [f"_key_{i}" for i in range(len(keys))]
     repeated = counts.where(F.col("_rows") > 1).select(
@@ -147,6 +156,7 @@ def flag_quality(
     critical: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
     few_repeats: bool = False,
+    long_keys: bool = False,
 ) -> DataFrame:
     """Add the array of reasons why a row is bad; empty means good.
 
@@ -155,7 +165,7 @@ def flag_quality(
     """
     marked, reasons = df, [F.when(_is_blank(df, c), F.lit(f"blank:{c}")) for c in critical]
     if keys:
-        marked = mark_repeated_keys(df, keys, "_repeated", hot_rows, few_repeats=few_repeats)
+        marked = mark_repeated_keys(df, keys, "_repeated", hot_rows, few_repeats=few_repeats, long_keys=long_keys)
         reasons += [
             F.when(_key_is_null(keys), F.lit("null_key")),
             F.when(F.col("_repeated"), F.lit("repeated_key")),
@@ -164,7 +174,9 @@ def flag_quality(
     return marked.select(*map(column, df.columns), found.alias(REASONS))
 
 
-def _totals(df: DataFrame, keys: Sequence[str], critical: Sequence[str]) -> DataFrame:
+def _totals(
+    df: DataFrame, keys: Sequence[str], critical: Sequence[str], long_keys: bool = False
+) -> DataFrame:
     blank = _any([_is_blank(df, c) for c in critical])
     if not keys:
         nothing = F.lit(0).cast("bigint")
@@ -174,6 +186,10 @@ def _totals(df: DataFrame, keys: Sequence[str], critical: Sequence[str]) -> Data
             nothing.alias("repeated_keys"),
             nothing.alias("repeated_bytes"),
         )
+    if long_keys:
+        digest = F.when(~_key_is_null(keys), _digest(keys)).alias("_long_key")
+        df, keys = df.select(digest, blank.alias("_is_blank")), ["_long_key"]
+        blank = F.col("_is_blank")
     per_key = df.groupBy(*map(column, keys)).agg(
         F.count(F.lit(1)).alias("_rows"), F.count_if(blank).alias("_blank")
     )
@@ -201,9 +217,11 @@ def quality_counts(df: DataFrame, keys: Sequence[str] = (), critical: Sequence[s
     return totals.withColumn("accepted", F.col("total") - F.col("rejected"))
 
 
-def check_quality(df: DataFrame, keys: Sequence[str] = (), critical: Sequence[str] = ()) -> QualityTotals:
+def check_quality(
+    df: DataFrame, keys: Sequence[str] = (), critical: Sequence[str] = (), long_keys: bool = False
+) -> QualityTotals:
     """The totals as a value; one row reaches the driver."""
-    return QualityTotals(**_totals(df, keys, critical).first().asDict())
+    return QualityTotals(**_totals(df, keys, critical, long_keys).first().asDict())
 
 
 def split_rejects(
@@ -211,16 +229,17 @@ def split_rejects(
     keys: Sequence[str] = (),
     critical: Sequence[str] = (),
     limit_percent: float | None = None,
+    long_keys: bool = False,
 ) -> tuple[DataFrame, DataFrame, QualityTotals]:
     """Accepted rows, rejected rows with their reasons, and the totals.
 
     The limit is judged on the totals, before either side is computed.  The
     totals also tell whether the repeated keys can be broadcast.
     """
-    totals = check_quality(df, keys, critical)
+    totals = check_quality(df, keys, critical, long_keys)
     if limit_percent is not None:
         totals.require_at_most(limit_percent)
-    flagged = flag_quality(df, keys, critical, few_repeats=totals.few_repeats)
+    flagged = flag_quality(df, keys, critical, few_repeats=totals.few_repeats, long_keys=long_keys)
     good = F.size(REASONS) == 0
     accepted = df if totals.rejected == 0 else flagged.where(good).drop(REASONS)
     return accepted, flagged.where(~good), totals

@@ -5,11 +5,21 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import asdict, dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SCHEMA = (
-    "run_id string, batch_id string, period string, stage string, target string, "
-    "rows bigint, status string, error string, logged_at timestamp"
+SCHEMA = pa.schema(
+    [
+        ("run_id", pa.string()),
+        ("batch_id", pa.string()),
+        ("period", pa.string()),
+        ("stage", pa.string()),
+        ("target", pa.string()),
+        ("rows", pa.int64()),
+        ("status", pa.string()),
+        ("error", pa.string()),
+        ("logged_at", pa.timestamp("us", tz="UTC")),
+    ]
 )
 
 
@@ -30,7 +40,7 @@ class Entry:
 
 def entries_frame(spark: SparkSession, entries: list[Entry]) -> DataFrame:
     """The entries of a run, a handful of rows, as a frame."""
-    return spark.createDataFrame([tuple(asdict(e).values()) for e in entries], SCHEMA).coalesce(1)
+    return spark.createDataFrame(pa.Table.from_pylist([asdict(e) for e in entries], SCHEMA)).coalesce(1)
 
 
 def append_log(spark: SparkSession, path: str, entries: list[Entry]) -> None:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections import Counter
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
+from threading import Thread
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -19,9 +19,10 @@ from sluiceway.operators.protection import Method, ProtectionError
 from sluiceway.plans.job import Job
 from sluiceway.plans.run_log import Entry, append_log, entries_frame
 from sluiceway.plans.sources import read_base
-from sluiceway.plans.transforms import load_transforms, run_transforms
+from sluiceway.plans.transforms import Transform, consumers, load_transforms, run_transforms
 from sluiceway.sinks import jdbc
 from sluiceway.sinks.files import Tap, load_files, no_tap, output_path
+from sluiceway.sinks.staging import staging_folder
 from sluiceway.sinks.tables import load_table
 
 # Load types, in lower case, by the sink they stand for.
@@ -114,7 +115,7 @@ class _Run:
                 status="error" if error else "ok",
                 # The kind of error only: messages may quote data or connections.
                 error=type(error).__name__ if error else None,
-                logged_at=dt.datetime.now(),
+                logged_at=dt.datetime.now(dt.UTC),
             )
         )
 
@@ -138,7 +139,23 @@ class _Run:
             if isinstance(error, ProtectionError) or not tolerant:
                 raise
         else:
-            self.note("load", target, seen.get["rows"])
+            self.note("load", target, _rows_seen(seen))
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder, cut off from what computed it."""
+    path = staging_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _rows_seen(seen: Observation, seconds: float = 30) -> int | None:
+    """The observed row count, or None where a sink reports none in time."""
+    found: list[int] = []
+    waiter = Thread(target=lambda: found.append(seen.get["rows"]), daemon=True)
+    waiter.start()
+    waiter.join(seconds)
+    return found[0] if found else None
 
 
 def _frame_of(load: Mapping[str, Any], base: DataFrame, frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -189,8 +206,8 @@ def run_job(
     """Run a job document.
 
     ``base`` replaces the extract stage with a frame at hand.  Only transforms a
-    load asks for are planned, and one that several loads ask for is kept while
-    they run.  ``count_source`` counts the source, which is a scan of its own for
+    load asks for are planned, and one with several consumers is shared by them
+    as its ``share`` says.  ``count_source`` counts the source, which is a scan of its own for
     anything but parquet.  The log is appended to ``log_path`` even when the run
     fails.
     """
@@ -209,12 +226,19 @@ def run_job(
         asked = [str(load["transform_id"]) for load in loads if load.get("transform_id") not in (None, "")]
         sql_folder = str(job.settings("paths").get("path_transform_sql") or "")
         transforms = load_transforms(spark, job.modules("transform"), sql_folder)
-        frames = run_transforms(base, transforms, only=set(asked) if loads else None)
+        only = set(asked) if loads else None
+        uses = consumers(transforms, asked, only)
+
+        def settle(transform: Transform, df: DataFrame) -> DataFrame:
+            if not loads or uses[transform.id] < 2 or transform.share == "none":
+                return df
+            if transform.share == "table":
+                return _staged(df, transform.view)
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return df
+
+        frames = run_transforms(base, transforms, only, settle)
         work = [(_frame_of(load, base, frames), load) for load in loads]
-
-        for ident, uses in Counter(asked).items():
-            if uses > 1:
-                kept.append(frames[ident].persist(StorageLevel.MEMORY_AND_DISK))
         if work:
             _run_loads(run, work)
         for ident in frames:

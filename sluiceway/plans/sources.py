@@ -89,6 +89,7 @@ def read_file_module(
             keys=name_list(quality.get("columns_key")),
             critical=name_list(quality.get("columns_critical")),
             limit_percent=limit,
+            long_keys=is_yes(quality.get("long_keys")),
         )
         if totals.rejected and reject.get("path"):
             guarded = protect_columns(rejected, props.get("data_protection"), methods)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import threading
 import warnings
-from collections.abc import Collection, Iterator, Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from graphlib import CycleError, TopologicalSorter
@@ -13,11 +14,16 @@ from graphlib import CycleError, TopologicalSorter
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from sluiceway.functions.names import quoted
+
 # Names under which SQL text finds the base and earlier results.
 INPUT_TOKEN = "{{SOURCE_INPUT}}"
 BASE_VIEW = "source_table"
 RESULT_VIEW = "tx_"
 
+# What becomes of a result that several consumers ask for.
+SHARING = ("persist", "table", "none")
+
 # Views are session-wide names.  Two jobs of one session take turns between
 # registering them and resolving their SQL, which is all that needs the names.
 _VIEWS = threading.Lock()
@@ -25,10 +31,21 @@ _VIEWS = threading.Lock()
 
 @dataclass(frozen=True)
 class Transform:
-    """One SQL text with its id."""
+    """One SQL text with its id, and how its result is shared.
+
+    A result with several consumers is by default persisted while they run.
+    ``table`` writes it to the shared folder instead, which outlives the loss of
+    executors; ``none`` computes it for each consumer, which is best where the
+    text is a cheap filter or projection that reaches the scan.
+    """
 
     id: str
     sql: str
+    share: str = "persist"
+
+    def __post_init__(self) -> None:
+        if self.share not in SHARING:
+            raise ValueError(f"transform {self.id!r} is shared as {self.share!r}, know {SHARING}")
 
     @property
     def view(self) -> str:
@@ -75,7 +92,7 @@ def load_transforms(
             text = read_sql(spark, sql_folder, text)
         elif kind is None and text.lower().endswith(".sql"):
             warnings.warn(f"transform {ident} names no type, {text!r} is taken as SQL text", stacklevel=2)
-        found[ident] = Transform(ident, text)
+        found[ident] = Transform(ident, text, str(module.get("share") or "persist").lower())
     return list(found.values())
 
 
@@ -99,47 +116,56 @@ def needed_in_order(transforms: Sequence[Transform], only: Collection[str] | Non
     return [by_id[i] for i in order]
 
 
+def _is_temp_view(spark: SparkSession, name: str) -> bool:
+    return any(t.name.lower() == name.lower() for t in spark.catalog.listTables(pattern=name) if t.isTemporary)
+
+
 @contextmanager
-def _views(spark: SparkSession) -> Iterator[dict[str, DataFrame | None]]:
+def _views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[None]:
     """Temporary views for the time of one resolution; earlier ones come back after it."""
-    replaced: dict[str, DataFrame | None] = {}
     with _VIEWS:
+        earlier = {name: spark.table(name) if _is_temp_view(spark, name) else None for name in frames}
         try:
-            yield replaced
+            for name, df in frames.items():
+                df.createOrReplaceTempView(name)
+            yield
         finally:
-            for name, earlier in replaced.items():
-                if earlier is None:
-                    spark.catalog.dropTempView(name)
+            for name, df in earlier.items():
+                if df is None:
+                    # catalog.dropTempView would also unpersist the frame behind the view.
+                    spark.sql(f"DROP VIEW IF EXISTS {quoted(name)}")
                 else:
-                    earlier.createOrReplaceTempView(name)
+                    df.createOrReplaceTempView(name)
 
 
-def _is_temp_view(spark: SparkSession, name: str) -> bool:
-    return any(t.name.lower() == name.lower() for t in spark.catalog.listTables(pattern=name) if t.isTemporary)
+def consumers(
+    transforms: Sequence[Transform], asked: Sequence[str], only: Collection[str] | None = None
+) -> Counter[str]:
+    """How many loads and planned transforms read each result."""
+    planned = needed_in_order(transforms, only)
+    ids = {t.id for t in planned}
+    return Counter(asked) + Counter(read for t in planned for read in t.reads(ids))
 
 
 def run_transforms(
-    base: DataFrame, transforms: Sequence[Transform], only: Collection[str] | None = None
+    base: DataFrame,
+    transforms: Sequence[Transform],
+    only: Collection[str] | None = None,
+    settle: Callable[[Transform, DataFrame], DataFrame] = lambda transform, df: df,
 ) -> dict[str, DataFrame]:
     """Lazy results by id, in the order of the job.
 
     Nothing is computed here: Spark sees each result together with the load that
-    asks for it, and reads only the columns and rows that load needs.
+    asks for it, and reads only the columns and rows that load needs.  ``settle``
+    may put a result on firmer ground before others build on it.
     """
     spark = base.sparkSession
-    ordered = needed_in_order(transforms, only)
     results: dict[str, DataFrame] = {}
-    with _views(spark) as replaced:
-
-        def publish(name: str, df: DataFrame) -> None:
-            replaced[name] = spark.table(name) if _is_temp_view(spark, name) else None
-            df.createOrReplaceTempView(name)
-
-        if ordered:
-            publish(BASE_VIEW, base)
-        for transform in ordered:
-            results[transform.id] = spark.sql(transform.sql.replace(INPUT_TOKEN, BASE_VIEW))
-            publish(transform.view, results[transform.id])
+    for transform in needed_in_order(transforms, only):
+        read = {RESULT_VIEW + ident: results[ident] for ident in transform.reads(results)}
+        with _views(spark, {BASE_VIEW: base, **read}):
+            planned = spark.sql(transform.sql.replace(INPUT_TOKEN, BASE_VIEW))
+        results[transform.id] = settle(transform, planned)
     return {t.id: results[t.id] for t in transforms if t.id in results}
 
 

@@ -143,10 +143,11 @@ def expected_reasons():
 @pytest.mark.parametrize("hot_rows", [2, 30, 10**6])
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
 @pytest.mark.parametrize("few_repeats", [False, True])
-def test_quality_against_brute_force(spark, hot_rows, broadcast, few_repeats):
+@pytest.mark.parametrize("long_keys", [False, True])
+def test_quality_against_brute_force(spark, hot_rows, broadcast, few_repeats, long_keys):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        flagged = flag_quality(keyed(spark), ["k", "l"], ["c"], hot_rows, few_repeats)
+        flagged = flag_quality(keyed(spark), ["k", "l"], ["c"], hot_rows, few_repeats, long_keys)
         assert sorted(map(tuple, flagged.collect()), key=str) == expected_reasons()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -188,6 +189,8 @@ def test_totals_and_limit(spark):
     totals = check_quality(df, ["k", "l"], ["c"])
     assert (totals.total, totals.rejected, totals.accepted) == (len(KEYED), bad, len(KEYED) - bad)
     assert totals.repeated_keys == 2 and totals.few_repeats
+    long = check_quality(df, ["k", "l"], ["c"], long_keys=True)
+    assert (long.total, long.rejected, long.repeated_keys) == (totals.total, totals.rejected, 2)
     accepted, rejected, _ = split_rejects(df, ["k", "l"], ["c"], limit_percent=100)
     assert (accepted.count(), rejected.count()) == (totals.accepted, totals.rejected)
     assert accepted.columns == df.columns and rejected.columns == [*df.columns, REASONS]

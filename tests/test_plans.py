@@ -186,6 +186,40 @@ def test_shared_transform_is_computed_once_and_released(spark, folder):
     assert not result.frames["r"].storageLevel.useMemory
 
 
+@pytest.mark.parametrize("share", ["persist", "table", "none"])
+def test_sharing_of_a_result_with_several_consumers(spark, folder, share):
+    document = job(
+        [
+            {"transform_id": "r", "transform_sql": "SELECT id, uuid() AS u FROM source_table", "share": share},
+            {"transform_id": "s", "transform_sql": "SELECT * FROM tx_r"},
+            {"transform_id": "t", "transform_sql": "SELECT * FROM tx_r"},
+        ],
+        [file_load(folder, "s", "s"), file_load(folder, "t", "t")],
+    )
+    result = run_job(spark, document, base=rows(spark))
+    s, t = (sorted(map(tuple, spark.read.parquet(f"{folder}/{n}").collect())) for n in "st")
+    assert s == t and len(s) == 10
+    assert ("uuid" in result.frames["s"]._jdf.queryExecution().optimizedPlan().toString()) == (share != "table")
+    with pytest.raises(ValueError, match="shared"):
+        Transform("1", "x", "sometimes")
+
+
+def test_views_leave_persisted_frames_alone(spark):
+    base = rows(spark).persist()
+    kept = []
+
+    def settle(transform, df):
+        kept.append(df.persist())
+        return df
+
+    texts = [Transform("r", "SELECT id FROM source_table"), Transform("s", "SELECT * FROM tx_r WHERE id > 1")]
+    result = run_transforms(base, texts, settle=settle)
+    assert base.storageLevel.useMemory and kept[0].storageLevel.useMemory
+    assert "InMemoryTableScan" in result["s"]._jdf.queryExecution().executedPlan().toString()
+    for df in (base, *kept):
+        df.unpersist()
+
+
 def test_tolerated_errors_and_the_others(spark, folder):
     rows(spark).write.parquet(f"{folder}/taken")
     failing = file_load(folder, "taken", mode="errorifexists")

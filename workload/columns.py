@@ -28,6 +28,7 @@ from sluiceway.operators.protection import (
     protect_columns,
     protection_methods,
 )
+from sluiceway.plans.run_log import sample_rows
 from sluiceway.sinks.jdbc import aligned_rows, audited_rows, truncating_rows
 from workload.registry import EXAMPLE_KEY, query, table
 from workload.sources import CLEANSED
@@ -342,6 +343,16 @@ def run_join_fields(spark, sf_dir):
     return join_fields(rows)
 
 
+@query(
+    "sample_protected",
+    "SELECT CAST(5 AS BIGINT) AS n, true AS all_hidden",
+)
+def sample_protected(spark, sf_dir):
+    """A look at a few rows, after protection."""
+    sample = sample_rows(hash_columns(table(spark, sf_dir, "orders").select("o_custkey"), ["o_custkey"]))
+    return sample.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.length("o_custkey") == 64).alias("all_hidden"))
+
+
 @query("header_check", "SELECT toxic, doc_id, quality FROM labels")
 def header_check(spark, sf_dir):
     rows = table(spark, sf_dir, "labels").toDF("DOC_ID", "Quality", "toxic")

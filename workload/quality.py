@@ -73,8 +73,9 @@ def quality_unique_key_hot(spark, sf_dir):
     "SELECT doc_id, count(*) OVER (PARTITION BY text) > 1 AS repeated FROM documents",
 )
 def quality_unique_text(spark, sf_dir):
-    """Whole texts as key: the exact copies."""
-    return mark_repeated_keys(table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"]).drop("text")
+    """Whole texts as key: the exact copies, found by their digests."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mark_repeated_keys(rows, ["text"], long_keys=True).drop("text")
 
 
 @query(
@@ -110,7 +111,7 @@ def run_quality_counts(spark, sf_dir):
 )
 def reject_split_accepted(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    accepted, _, _ = split_rejects(documents, ["text"], ["lang"], limit_percent=100)
+    accepted, _, _ = split_rejects(documents, ["text"], ["lang"], limit_percent=100, long_keys=True)
     return accepted.select("doc_id", "lang")
 
 

@@ -6,6 +6,7 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluiceway.functions.crypto import CipherKey
 from sluiceway.sinks.staging import staging_folder
@@ -48,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     """Put one small document onto the shared file system."""
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path, lineSep="\n")
+    spark.range(1).coalesce(1).select(F.lit(text).alias("value")).write.text(path)
 
 
 def write_batch(

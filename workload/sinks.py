@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from sluiceway.operators.protection import decrypt_columns, encrypt_columns
 from sluiceway.sinks.files import load_files, write_files
+from sluiceway.sinks.jdbc import aligned_rows
 from sluiceway.sinks.staging import staging_folder
-from sluiceway.sinks.tables import load_table, register_partitions, table_location
+from sluiceway.sinks.tables import load_table, register_partitions, table_columns, table_location
 from sluiceway.sources.files import read_delimited, read_parquet
 from workload.registry import EXAMPLE_KEY, query, table
 
@@ -208,6 +209,22 @@ def sink_catalog_rerun_period(spark, sf_dir):
     return spark.table(f"{schema}.{name}")
 
 
+@query(
+    "aligned_to_table_inventory",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS client, c_name AS label, CAST(c_nationkey AS BIGINT) AS place,
+           CAST(NULL AS DATE) AS opened
+    FROM customer
+    """,
+)
+def aligned_to_table_inventory(spark, sf_dir):
+    """The destination's columns are looked up, and the rows fitted to them by position."""
+    schema, name = _new_table(spark, "client STRING, label STRING, place BIGINT, opened DATE", "opened")
+    destination = [(column, data_type) for column, data_type, _ in table_columns(spark, schema, name)]
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return aligned_rows(rows, destination, by_position=True)
+
+
 @query("sink_catalog_repair", "SELECT c_custkey, c_mktsegment FROM customer")
 def sink_catalog_repair(spark, sf_dir):
     """Partitions written by somebody else are found when the table is repaired."""
