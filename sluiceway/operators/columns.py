@@ -119,20 +119,20 @@ def add_audit_columns(
     )
 
 
-def add_run_partitions(
-    df: DataFrame, batch_id: str | None, period: str | None
-) -> tuple[DataFrame, list[str]]:
-    """Add batch and period as constant columns, and name the ones added.
-
-    A column that is already there is neither replaced nor named.
-    """
+def run_partitions(df: DataFrame, batch_id: str | None, period: str | None) -> dict[str, str]:
+    """Batch and period as columns to add and partition by, those the frame lacks."""
     values = {AUDIT_BATCH: batch_id, RUN_PERIOD: period}
-    added = {
-        name: F.lit(str(value))
+    return {
+        name: str(value)
         for name, value in values.items()
         if value is not None and name not in df.columns
     }
-    return (df.withColumns(added) if added else df), list(added)
+
+
+def add_run_partitions(df: DataFrame, batch_id: str | None, period: str | None) -> DataFrame:
+    """Add batch and period as constant columns; a column already there is not replaced."""
+    added = run_partitions(df, batch_id, period)
+    return df.withColumns({name: F.lit(value) for name, value in added.items()}) if added else df
 
 
 def add_period_for_table(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from sluiceway.functions.names import column, is_yes, name_list, stamp_period
-from sluiceway.operators.columns import add_run_partitions
+from sluiceway.operators.columns import run_partitions
 from sluiceway.operators.protection import Method, protect_columns
 
 # What each format can be compressed with.
@@ -21,7 +21,7 @@ CODECS = {
     "text": _TEXT_CODECS,
 }
 
-# Applied to the finished rows as the last step before they are written.
+# Applied to the rows in the stage that writes them, after any shuffle.
 Tap = Callable[[DataFrame], DataFrame]
 
 
@@ -74,6 +74,7 @@ def write_files(
     distribute: bool = True,
     only_written_partitions: bool = False,
     rows_per_file: int | None = None,
+    run_columns: Mapping[str, str] | None = None,
     tap: Tap = no_tap,
 ) -> None:
     """Write a frame as files.
@@ -81,8 +82,10 @@ def write_files(
     ``text`` with a delimiter is delimited text; without one every row is JSON
     text.  With partition columns, rows are first rebalanced by them, so that a
     partition value gets few files instead of one per task; adaptive execution
-    splits a value that holds too much.  ``only_written_partitions`` lets an
-    overwrite keep the partitions it does not write to.
+    splits a value that holds too much.  ``run_columns`` are constants to add and
+    partition by, which takes neither shuffle nor sort.
+    ``only_written_partitions`` lets an overwrite keep the partitions it does not
+    write to.
     """
     check_format(file_format, compression)
     if file_format == "text" and delimiter:
@@ -90,10 +93,15 @@ def write_files(
     parts = present_partitions(df, partition_by)
     if parts and distribute:
         df = df.hint("rebalance", *map(column, parts))
+    df = tap(df)
+    if run_columns:
+        # Added last: Spark then sees that they are constant, and does not sort by them.
+        df = df.withColumns({name: F.lit(value) for name, value in run_columns.items()})
+        parts += run_columns
     if file_format == "text":
         df = _as_text(df, parts)
 
-    writer: DataFrameWriter = tap(df).write.format(file_format).mode(mode)
+    writer: DataFrameWriter = df.write.format(file_format).mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
     options: dict[str, object] = {}
@@ -111,22 +119,6 @@ def write_files(
     writer.options(**options).save(path)
 
 
-def prepare_file_load(
-    df: DataFrame,
-    props: Mapping[str, object],
-    batch_id: str | None = None,
-    period: str | None = None,
-    methods: Mapping[str, Method] | None = None,
-) -> tuple[DataFrame, list[str], list[str]]:
-    """Protect, add run partitions; give the frame, its partitioning and the run's own columns."""
-    out = protect_columns(df, props.get("data_protect_columns"), methods)
-    parts = name_list(props.get("partition_by") or props.get("partitions"))
-    added: list[str] = []
-    if is_yes(props.get("auto_partition")):
-        out, added = add_run_partitions(out, batch_id, period)
-    return out, parts + added, added
-
-
 def load_files(
     df: DataFrame,
     props: Mapping[str, object],
@@ -137,7 +129,8 @@ def load_files(
 ) -> str:
     """Run one file load of a job document and give the path written."""
     path = output_path(props.get("bucket"), props.get("name"), period or "")
-    out, parts, added = prepare_file_load(df, props, batch_id, period, methods)
+    out = protect_columns(df, props.get("data_protect_columns"), methods)
+    auto = is_yes(props.get("auto_partition"))
 
     def text(key: str, default: str = "") -> str:
         return str(props.get(key) or default).strip()
@@ -147,15 +140,15 @@ def load_files(
         path,
         file_format=text("format", "parquet").lower(),
         mode=text("mode", "overwrite").lower(),
-        partition_by=parts,
+        partition_by=name_list(props.get("partition_by") or props.get("partitions")),
         compression=text("compression").lower() or None,
         header=is_yes(props.get("header", "y")),
         delimiter=props.get("delimiter") or None,
         extension=text("extension") or None,
-        # The run's own columns hold one value each: nothing to bring together.
-        distribute=is_yes(props.get("distribute", "y")) and parts != added,
+        distribute=is_yes(props.get("distribute", "y")),
         only_written_partitions=is_yes(props.get("only_written_partitions")),
         rows_per_file=int(props["rows_per_file"]) if props.get("rows_per_file") else None,
+        run_columns=run_partitions(out, batch_id, period) if auto else None,
         tap=tap,
     )
     return path

@@ -96,11 +96,12 @@ def write_table(
     spark = df.sparkSession
     columns = table_columns(spark, schema, table)
     parts = [name for name, _, is_part in columns if is_part]
-    had_period = {c.lower() for c in df.columns}
-    rows = prepare_table_rows(df, columns, period)
-    constant = all(p.lower() not in had_period for p in parts)
-    if parts and distribute and not constant:
-        rows = rows.hint("rebalance", *map(column, parts))
+    df = match_column_case(df, [c[0] for c in columns])
+    in_data = [p for p in parts if p in df.columns]
+    if in_data and distribute:
+        df = df.hint("rebalance", *map(column, in_data))
+    # The period is added after it, as a constant Spark need not sort by.
+    rows = prepare_table_rows(tap(df), columns, period)
     if only_written_partitions and parts:
         write_files(
             rows,
@@ -110,11 +111,10 @@ def write_table(
             partition_by=parts,
             distribute=False,
             only_written_partitions=True,
-            tap=tap,
         )
-        register_partitions(spark, schema, table, {p: str(period) for p in parts} if constant else None)
+        register_partitions(spark, schema, table, None if in_data else {p: str(period) for p in parts})
     else:
-        tap(rows).write.mode(mode).insertInto(_full_name(schema, table))
+        rows.write.mode(mode).insertInto(_full_name(schema, table))
 
 
 def load_table(

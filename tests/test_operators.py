@@ -83,9 +83,9 @@ def test_audit_and_run_columns(spark):
     assert dict(out.dtypes)["load_ts"] == "timestamp"
     have = spark.sql("SELECT 202510 AS fecinfo, '5' AS batch_id, '2024-01-01 00:00:00' AS load_ts")
     assert tuple(add_audit_columns(have, "x", 1).first()) == ("202510", 5, dt.datetime(2024, 1, 1))
-    out, added = add_run_partitions(have, "7", "202510")
-    assert added == ["fecinformacion"] and out.first().batch_id == "5"
-    assert add_run_partitions(df, None, None)[1] == []
+    out = add_run_partitions(have, "7", "202510")
+    assert out.columns[-1] == "fecinformacion" and out.first().batch_id == "5"
+    assert add_run_partitions(df, None, None).columns == ["a"]
     assert add_period_for_table(df, ["x"], "202510").columns == ["a"]
     assert add_period_for_table(df, ["FECINFORMACION"], None).columns == ["a"]
     assert match_column_case(df, ["A", "b"]).columns == ["A"]

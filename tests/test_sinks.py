@@ -3,6 +3,7 @@ import tempfile
 from glob import glob
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sluiceway.sinks.files import load_files, output_path, write_files
@@ -62,6 +63,28 @@ def test_text_rows_without_nulls(spark, folder):
     assert open(data_files(folder)[0]).read() == '{"a":1}\n'
 
 
+def last_plan(spark):
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return found.apply(found.size() - 1).physicalPlanDescription()
+
+
+def counting(seen):
+    return lambda df: df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+
+def test_constant_partitions_are_neither_shuffled_nor_sorted(spark, folder, table):
+    seen = Observation()
+    load_files(rows(spark), {"bucket": f"{folder}/x", "auto_partition": "y"}, "1", "202510", tap=counting(seen))
+    plan = last_plan(spark)
+    assert "WriteFiles" in plan and "Sort" not in plan and "Exchange" not in plan
+    assert seen.get["rows"] == 100
+    seen = Observation()
+    load_table(rows(spark), PROPS, "202510", tap=counting(seen))
+    plan = last_plan(spark)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort" in plan and "fecinformacion" not in plan.split("Sort")[1].split("]")[0]
+    assert seen.get["rows"] == 100
+
+
 def test_rows_per_file(spark, folder):
     write_files(rows(spark).coalesce(1), folder, rows_per_file=30)
     assert len(data_files(folder)) == 4

@@ -292,8 +292,7 @@ def audit_columns_already_there(spark, sf_dir):
 
 @query("run_partition_columns", "SELECT o_orderkey, '7' AS batch_id, '202510' AS fecinformacion FROM orders")
 def run_partition_columns(spark, sf_dir):
-    out, _ = add_run_partitions(table(spark, sf_dir, "orders").select("o_orderkey"), "7", "202510")
-    return out
+    return add_run_partitions(table(spark, sf_dir, "orders").select("o_orderkey"), "7", "202510")
 
 
 @query(
