@@ -15,20 +15,18 @@ from pyspark.sql import types as T
 _BLANKS = r"[\x00-\x20\x7f]*"
 TRUE_WORDS = "t|true|y|yes|1"
 FALSE_WORDS = "f|false|n|no|0"
-# More digits than this overflow every integer type.
-WHOLE_NUMBER = rf"^{_BLANKS}([+-]?0*[0-9]{{1,19}})(?:\.[0-9]*)?{_BLANKS}$"
 ONLY_DECIMALS = rf"^{_BLANKS}[+-]?\.[0-9]*{_BLANKS}$"
 DECIMAL_NUMBER = rf"^{_BLANKS}[+-]?(\p{{Nd}}+\.?\p{{Nd}}*|\.\p{{Nd}}+)([eE][+-]?\p{{Nd}}+)?{_BLANKS}$"
 FLOATING_NUMBER = (
     rf"^{_BLANKS}[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?{_BLANKS}$|0[xX]|(?i:inf|nan))"
 )
 
-# One above the largest value, and how many digits always fit.
-_LIMITS = {
-    T.ByteType: (2**7, 2),
-    T.ShortType: (2**15, 4),
-    T.IntegerType: (2**31, 9),
-    T.LongType: (2**63, 18),
+# How many digits always fit, and how many can fit at all.
+_DIGITS = {
+    T.ByteType: (2, 3),
+    T.ShortType: (4, 5),
+    T.IntegerType: (9, 10),
+    T.LongType: (18, 19),
 }
 
 
@@ -37,13 +35,11 @@ def _text_to_whole(value: Column, target: T.IntegralType) -> Column:
 
     Plain short numbers, by far the most common, take the first branch.
     """
-    limit, short = _LIMITS[type(target)]
-    digits = F.regexp_extract(value, WHOLE_NUMBER, 1)
-    number = digits.try_cast(T.DecimalType(38, 0))
-    fits = number.between(F.lit(-limit).cast("decimal(38,0)"), F.lit(limit - 1).cast("decimal(38,0)"))
+    short, long = _DIGITS[type(target)]
+    number = rf"^{_BLANKS}([+-]?0*[0-9]{{1,{long}}})(?:\.[0-9]*)?{_BLANKS}$"
     return (
         F.when(value.rlike(rf"^[+-]?[0-9]{{1,{short}}}$"), value.try_cast(target))
-        .when(digits != "", F.when(fits, number.try_cast(target)))
+        .when(value.rlike(number), F.regexp_extract(value, number, 1).try_cast(target))
         .when(value.rlike(ONLY_DECIMALS), F.lit(0).cast(target))
     )
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType
 
 from sluiceway.functions.names import is_yes, name_list, split_table_name
+from sluiceway.functions.types import parse_type
 from sluiceway.operators.columns import (
     add_audit_columns,
     align_by_name,
@@ -142,11 +144,14 @@ def aligned_rows(
 ) -> DataFrame:
     """Rows in the destination's columns and types.
 
-    Aligned by position or by name, blanks cleaned for the type, then cast.
+    Aligned by position or by name, blanks cleaned for the type, then cast.  The
+    casts turn blank text into NULL by themselves, so only columns that stay
+    text are cleaned first.
     """
     types = dict(destination)
+    texts = {n: t for n, t in destination if isinstance(parse_type(t, "destination"), StringType)}
     out = align_by_position(df, destination) if by_position else align_by_name(df, list(types))
-    return cast_to_destination(clean_blanks(out, types, null_to_empty), types)
+    return cast_to_destination(clean_blanks(out, texts, null_to_empty), types)
 
 
 def aligned_options(

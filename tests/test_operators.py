@@ -35,6 +35,7 @@ from sluiceway.operators.quality import (
     mark_repeated_keys,
     split_rejects,
 )
+from sluiceway.sinks.jdbc import aligned_rows
 
 KEY = CipherKey(bytes(32), bytes(16))
 
@@ -48,6 +49,15 @@ def test_clean_blanks_keeps_types_and_other_columns(spark):
     assert same.first()["m"] is None
 
 
+@pytest.mark.parametrize("dest", ["integer", "date", "timestamp", "boolean", "numeric(5,1)", "real", "clob", "varchar(9)"])
+def test_aligned_rows_clean_before_they_cast(spark, dest):
+    df = spark.createDataFrame([("",), ("  ",), (None,), ("1",), ("2024-01-02",), ("x",)], "a string")
+    for flag in (False, True):
+        fused = aligned_rows(df, [("a", dest)], null_to_empty=flag)
+        steps = cast_to_destination(clean_blanks(df, {"a": dest}, flag), {"a": dest})
+        assert fused.collect() == steps.collect() and fused.schema == steps.schema
+
+
 def test_null_to_empty_only_touches_strings(spark):
     row = null_to_empty(spark.sql("SELECT CAST(NULL AS STRING) AS s, CAST(NULL AS INT) AS n")).first()
     assert tuple(row) == ("", None)
