@@ -21,7 +21,7 @@ from sluiceway.plans.run_log import Entry, append_log, entries_frame
 from sluiceway.plans.sources import read_base
 from sluiceway.plans.transforms import Transform, consumers, load_transforms, run_transforms
 from sluiceway.sinks import jdbc
-from sluiceway.sinks.files import Tap, load_files, no_tap, output_path
+from sluiceway.sinks.files import Tap, load_files, no_tap, output_path, write_files
 from sluiceway.sinks.staging import staging_folder
 from sluiceway.sinks.tables import load_table
 
@@ -127,12 +127,8 @@ class _Run:
         """
         target = load_target(load, self.job)
         seen = Observation()
-
-        def counted(rows: DataFrame) -> DataFrame:
-            return rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-
         try:
-            run_load(df, load, self.job, self.methods, counted)
+            run_load(df, load, self.job, self.methods, _counting(seen))
         except Exception as error:
             self.note("load", target, None, error)
             tolerant = is_yes((load.get("load_properties") or {}).get("error_continue"))
@@ -142,13 +138,6 @@ class _Run:
             self.note("load", target, _rows_seen(seen))
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder, cut off from what computed it."""
-    path = staging_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _rows_seen(seen: Observation, seconds: float = 30) -> int | None:
     """The observed row count, or None where a sink reports none in time."""
     found: list[int] = []
@@ -158,6 +147,17 @@ def _rows_seen(seen: Observation, seconds: float = 30) -> int | None:
     return found[0] if found else None
 
 
+def _counting(seen: Observation) -> Tap:
+    return lambda rows: rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+
+def _staged(df: DataFrame, label: str) -> tuple[DataFrame, int | None]:
+    """The frame as a table in the shared folder, cut off from what computed it, and its rows."""
+    path, seen = staging_folder(df.sparkSession, label), Observation()
+    write_files(df, path, mode="errorifexists", tap=_counting(seen))
+    return df.sparkSession.read.schema(df.schema).parquet(path), _rows_seen(seen)
+
+
 def _frame_of(load: Mapping[str, Any], base: DataFrame, frames: Mapping[str, DataFrame]) -> DataFrame:
     ident = load.get("transform_id")
     if ident in (None, ""):
@@ -228,13 +228,17 @@ def run_job(
         transforms = load_transforms(spark, job.modules("transform"), sql_folder)
         only = set(asked) if loads else None
         uses = consumers(transforms, asked, only)
+        counted: dict[str, int | None] = {}
 
         def settle(transform: Transform, df: DataFrame) -> DataFrame:
             if not loads or uses[transform.id] < 2 or transform.share == "none":
                 return df
             if transform.share == "table":
-                return _staged(df, transform.view)
+                df, counted[transform.id] = _staged(df, transform.view)
+                return df
+            # Filled before its consumers start: side by side, each would compute it.
             kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            counted[transform.id] = df.count()
             return df
 
         frames = run_transforms(base, transforms, only, settle)
@@ -242,7 +246,8 @@ def run_job(
         if work:
             _run_loads(run, work)
         for ident in frames:
-            run.note("transform", f"tx_{ident}", _rows_of(run, work, frames[ident]))
+            rows = counted[ident] if ident in counted else _rows_of(run, work, frames[ident])
+            run.note("transform", f"tx_{ident}", rows)
         return JobResult(run.id, base, frames, run.entries)
     except Exception as error:
         run.note("run", "job", None, error)

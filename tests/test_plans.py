@@ -199,6 +199,8 @@ def test_sharing_of_a_result_with_several_consumers(spark, folder, share):
     result = run_job(spark, document, base=rows(spark))
     s, t = (sorted(map(tuple, spark.read.parquet(f"{folder}/{n}").collect())) for n in "st")
     assert s == t and len(s) == 10
+    counts = {e.target: e.rows for e in result.entries if e.stage == "transform"}
+    assert counts == {"tx_r": None if share == "none" else 10, "tx_s": 10, "tx_t": 10}
     assert ("uuid" in result.frames["s"]._jdf.queryExecution().optimizedPlan().toString()) == (share != "table")
     with pytest.raises(ValueError, match="shared"):
         Transform("1", "x", "sometimes")

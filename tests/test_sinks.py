@@ -44,6 +44,19 @@ def test_partition_gets_few_files_however_many_tasks_write(spark, folder):
     assert len(data_files(f"{folder}/few")) == 4 < len(data_files(f"{folder}/many"))
 
 
+def test_a_hot_partition_value_is_split(spark, folder):
+    """Nine rows in ten share a value; it is written by several tasks, and every row is there."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        hot = F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot"))
+        df = spark.range(0, 300_000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"), hot.alias("p"))
+        write_files(df, folder, partition_by=["p"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(data_files(f"{folder}/p=hot")) > 4
+    assert spark.read.parquet(folder).distinct().count() == 300_000
+
+
 def test_partition_columns_that_are_missing(spark, folder):
     with pytest.warns(UserWarning, match="q"):
         write_files(rows(spark), folder, partition_by=["p", "q"])
