@@ -97,8 +97,8 @@ def run_load(
 class _Run:
     """One run's state: its log and the job it belongs to."""
 
-    def __init__(self, job: Job, methods: Mapping[str, Method] | None) -> None:
-        self.id = uuid.uuid4().hex
+    def __init__(self, job: Job, methods: Mapping[str, Method] | None, run_id: str) -> None:
+        self.id = run_id
         self.job = job
         self.methods = methods
         self.entries: list[Entry] = []
@@ -202,6 +202,7 @@ def run_job(
     methods: Mapping[str, Method] | None = None,
     log_path: str | None = None,
     count_source: bool = False,
+    run_id: str | None = None,
 ) -> JobResult:
     """Run a job document.
 
@@ -212,7 +213,7 @@ def run_job(
     fails.
     """
     job = Job(process, shared or {}, batch_id, period)
-    run = _Run(job, methods)
+    run = _Run(job, methods, run_id or uuid.uuid4().hex)
     kept: list[DataFrame] = []
     try:
         loads = job.modules("load")

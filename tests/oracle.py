@@ -78,7 +78,6 @@ def same_kind(spark_type: str, duck_type: str) -> bool:
         "boolean": "BOOLEAN",
         "date": "DATE",
         "timestamp_ntz": "TIMESTAMP",
-        "timestamp": "TIMESTAMP",
     }
     return expected.get(spark_type) == duck_type
 

@@ -1,9 +1,11 @@
+import json
 import threading
 import warnings
 
 import pytest
 from pyspark.sql import functions as F
 
+from sluiceway.__main__ import main
 from sluiceway.functions.crypto import CipherKey
 from sluiceway.operators.protection import ProtectionError, decrypt_columns, protection_methods
 from sluiceway.operators.quality import RejectLimitExceeded
@@ -295,6 +297,29 @@ def test_jdbc_sinks_refuse_incomplete_jobs(spark):
     assert jdbc.truncating_options({"dbtable": "t", "mode": "overwrite"}, {"password": "p"})[1] == "overwrite"
 
 
+def test_a_job_from_documents(spark, folder):
+    spark.range(5).write.csv(f"{folder}/in/7_202510/data", sep="|")
+    documents = {
+        "in/7_202510/metadata.json": {"metadata": {"format": "text", "columns": [{"name": "a", "data_type": "BIGINT"}]}},
+        "process.json": job([{"transform_sql": "SELECT a * 2 AS b FROM {{SOURCE_INPUT}}"}], [file_load(folder, "out_abc", "1")]),
+        "shared.json": {
+            "config_app": [
+                {"name": "paths", "properties": {"path_data_onprem": f"{folder}/in"}},
+                {"name": "spark-config", "properties": {"spark.sql.test.only": "seen"}},
+            ]
+        },
+    }
+    for name, document in documents.items():
+        with open(f"{folder}/{name}", "w") as out:
+            json.dump(document, out)
+    names = ["--process", f"{folder}/process.json", "--shared", f"{folder}/shared.json"]
+    main([*names, "--batch-id", "7", "--period", "202510", "--run-id", "r1", "--log-path", f"{folder}/log", "--count-source"])
+    assert sorted(r.b for r in spark.read.parquet(f"{folder}/out_202510").collect()) == [0, 2, 4, 6, 8]
+    logged = spark.read.parquet(f"{folder}/log").collect()
+    assert {(r.run_id, r.stage, r.rows) for r in logged} == {("r1", s, 5) for s in ("extract", "transform", "load")}
+    assert spark.conf.get("spark.sql.test.only") == "seen"
+
+
 # Extract stage
 
 

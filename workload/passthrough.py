@@ -55,10 +55,10 @@ _passes(
 _passes(
     "pass_interval_join",
     "events",
-    "WITH spans AS (SELECT user_id, event_type, date_trunc('hour', ts) AS span, count(*) AS n "
-    "FROM {{SOURCE_INPUT}} GROUP BY user_id, event_type, date_trunc('hour', ts)) "
-    "SELECT a.user_id, a.event_type, a.span, a.n, b.n AS next_n FROM spans a LEFT JOIN spans b "
-    "ON a.user_id = b.user_id AND a.event_type = b.event_type AND b.span = a.span + INTERVAL '1' HOUR",
+    "WITH spans AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, CAST(hour(ts) AS INT) AS h, count(*) AS n "
+    "FROM {{SOURCE_INPUT}} GROUP BY user_id, event_type, CAST(ts AS DATE), CAST(hour(ts) AS INT)) "
+    "SELECT a.user_id, a.event_type, a.day, a.h, a.n, b.n AS next_n FROM spans a LEFT JOIN spans b "
+    "ON a.user_id = b.user_id AND a.event_type = b.event_type AND b.day = a.day AND b.h = a.h + 1",
 )
 _passes(
     "pass_agg",
