@@ -106,8 +106,8 @@ def mark_repeated_keys(
     bounded size; they, and rows with a NULL key, cross the join spread by input
     partition instead of by key.
 
-    ``long_keys`` compares SHA-256 digests, so that keys as long as whole texts
-    are not shuffled themselves.
+    ``long_keys`` compares SHA-256 digests, so that text keys as long as whole
+    documents are not shuffled themselves.
     """
     if long_keys:
         digested = df.withColumn("_long_key", F.when(~_key_is_null(keys), _digest(keys)))

@@ -158,13 +158,20 @@ def _staged(df: DataFrame, label: str) -> tuple[DataFrame, int | None]:
     return df.sparkSession.read.schema(df.schema).parquet(path), _rows_seen(seen)
 
 
-def _frame_of(load: Mapping[str, Any], base: DataFrame, frames: Mapping[str, DataFrame]) -> DataFrame:
+def _asked_by(load: Mapping[str, Any]) -> str:
+    """The transform a load asks for; '' is the base."""
     ident = load.get("transform_id")
-    if ident in (None, ""):
-        return base
-    if str(ident) not in frames:
-        raise ValueError(f"load names transform {ident!r}, which does not exist")
-    return frames[str(ident)]
+    return "" if ident is None else str(ident)
+
+
+def _check_loads(loads: list[dict[str, Any]], transforms: list[Transform], job: Job) -> list[str]:
+    """Every load has a known type, a target and an existing transform; which are asked for."""
+    known = {t.id for t in transforms}
+    for load in loads:
+        load_target(load, job)
+        if _asked_by(load) not in known | {""}:
+            raise ValueError(f"load names transform {_asked_by(load)!r}, which does not exist")
+    return [_asked_by(load) for load in loads if _asked_by(load)]
 
 
 def _run_loads(run: _Run, work: list[tuple[DataFrame, Mapping[str, Any]]]) -> None:
@@ -208,25 +215,25 @@ def run_job(
 
     ``base`` replaces the extract stage with a frame at hand.  Only transforms a
     load asks for are planned, and one with several consumers is shared by them
-    as its ``share`` says.  ``count_source`` counts the source, which is a scan of its own for
-    anything but parquet.  The log is appended to ``log_path`` even when the run
-    fails.
+    as its ``share`` says.  ``count_source`` counts the source, which is a scan of
+    its own for anything but parquet.  The log is appended to ``log_path`` even
+    when the run fails.
     """
     job = Job(process, shared or {}, batch_id, period)
     run = _Run(job, methods, run_id or uuid.uuid4().hex)
     kept: list[DataFrame] = []
     try:
+        # Whatever the documents alone can tell to be wrong is told before any work.
         loads = job.modules("load")
-        for load in loads:
-            load_kind(load)
+        sql_folder = str(job.settings("paths").get("path_transform_sql") or "")
+        transforms = load_transforms(spark, job.modules("transform"), sql_folder)
+        asked = _check_loads(loads, transforms, job)
+
         source = "frame"
         if base is None:
             base, source = read_base(spark, job, methods)
         run.note("extract", source, base.count() if count_source else None)
 
-        asked = [str(load["transform_id"]) for load in loads if load.get("transform_id") not in (None, "")]
-        sql_folder = str(job.settings("paths").get("path_transform_sql") or "")
-        transforms = load_transforms(spark, job.modules("transform"), sql_folder)
         only = set(asked) if loads else None
         uses = consumers(transforms, asked, only)
         counted: dict[str, int | None] = {}
@@ -243,7 +250,7 @@ def run_job(
             return df
 
         frames = run_transforms(base, transforms, only, settle)
-        work = [(_frame_of(load, base, frames), load) for load in loads]
+        work = [(frames.get(_asked_by(load), base), load) for load in loads]
         if work:
             _run_loads(run, work)
         for ident in frames:

@@ -59,7 +59,13 @@ def _limits(props: Mapping[str, object]) -> dict[str, str]:
 
 
 def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str, tap: Tap = no_tap) -> None:
-    """Hand a frame to Spark's JDBC writer."""
+    """Hand a frame to Spark's JDBC writer.
+
+    With a limit on connections the rows are repartitioned to that many tasks;
+    left to itself the writer would run the whole stage before it in that few.
+    """
+    if options.get("numPartitions"):
+        df = df.repartition(int(options["numPartitions"]))
     tap(df).write.format("jdbc").options(**options).mode(mode).save()
 
 

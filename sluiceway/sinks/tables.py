@@ -47,7 +47,8 @@ def register_partitions(
     """
     name = _full_name(schema, table)
     if values:
-        spec = ", ".join(f"{quoted(k)} = '{v}'" for k, v in values.items())
+        texts = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in values.items()}
+        spec = ", ".join(f"{quoted(k)} = '{v}'" for k, v in texts.items())
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
     else:
         spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")

@@ -141,9 +141,11 @@ def test_transform_reads_only_what_its_load_needs(spark):
 
 def test_unknown_load_type_or_transform_stops_before_any_load(spark, folder):
     good = file_load(f"{folder}/good")
-    for bad in ({"load_type": "ftp"}, {}, file_load(folder, "x", "nope")):
+    for bad in ({"load_type": "ftp"}, {}, file_load(folder, "x", "nope"), file_load(" ", "x")):
         with pytest.raises(ValueError):
             run_job(spark, job(loads=[good, bad]), base=rows(spark))
+        with pytest.raises(ValueError, match="load|bucket"):
+            run_job(spark, job(loads=[good, bad]), batch_id="no such batch", period="1")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(f"{folder}/good")
 

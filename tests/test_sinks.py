@@ -158,6 +158,8 @@ def test_one_partition_can_be_registered_by_name(spark, table, folder):
     assert spark.table("sink_test.t").count() == 0
     register_partitions(spark, *table, {"p": "z", "fecinformacion": "1"})
     assert spark.table("sink_test.t").count() == 100
+    register_partitions(spark, *table, {"p": "it's \\ odd", "fecinformacion": "1"})
+    assert spark.sql("SHOW PARTITIONS sink_test.t").count() == 2
 
 
 def test_staging_folder_is_the_one_the_session_names(spark):
