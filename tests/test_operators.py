@@ -40,6 +40,19 @@ from sluiceway.sinks.jdbc import aligned_rows
 KEY = CipherKey(bytes(32), bytes(16))
 
 
+def test_filters_and_columns_reach_the_scan_through_every_operator(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    types = {"l_partkey": "integer", "l_comment": "text"}
+    out = hash_columns(lines, ["l_suppkey"])
+    out = cast_to_destination(clean_blanks(out, types), types)
+    out = null_to_empty(add_audit_columns(out, "202510", 1))
+    out = match_column_case(align_by_name(out, [*lines.columns, "fecinfo"]), ["L_TAX"])
+    plan = out.where("l_orderkey = 7").select("l_partkey", "fecinfo")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_orderkey,7)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan
+    assert "Exchange" not in plan and plan.count("Project") == 1
+
+
 def test_clean_blanks_keeps_types_and_other_columns(spark):
     df = spark.sql("SELECT ' ' AS a, 5 AS n, CAST(NULL AS INT) AS m, array(1) AS arr, ' ' AS free")
     out = clean_blanks(df, {"a": "int", "n": "int", "m": "varchar(3)", "arr": "int"}, null_to_empty=True)

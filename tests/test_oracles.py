@@ -15,7 +15,10 @@ def connection():
 
 @pytest.mark.parametrize("name", list(driver.queries()))
 def test_query_gives_what_its_oracle_gives(spark, connection, name):
-    assert compare(driver.queries()[name](spark, SF), connection, driver.oracle_sql()[name]) is None
+    df = driver.queries()[name](spark, SF)
+    assert compare(df, connection, driver.oracle_sql()[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("EvalPython", "InPandas", "Cartesian", "NestedLoop", "ExistingRDD"))
 
 
 def test_every_query_has_an_oracle():
