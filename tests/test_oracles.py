@@ -4,6 +4,7 @@ import pytest
 from oracle import compare, database
 
 import __spark_entry__ as driver
+import workload
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def connection():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(workload.queries()))
 def test_query_gives_what_its_oracle_gives(spark, connection, name):
     df = driver.queries()[name](spark, SF)
     assert compare(df, connection, driver.oracle_sql()[name]) is None
@@ -22,7 +23,7 @@ def test_query_gives_what_its_oracle_gives(spark, connection, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(workload.queries()) == set(workload.oracles())
 
 
 def test_entry_runs(spark):
