@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluiceway.llm.mixing import op1_mix
 from sluiceway.llm.simhash import op7_simhash
+from sluiceway.llm.urls import op10_urls
+from sluiceway.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": op1_mix,
     "op7_simhash": op7_simhash,
+    "op9_warc": op9_warc,
+    "op10_urls": op10_urls,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_warc": OP9_SQL}

@@ -1,0 +1,52 @@
+import base64
+import hashlib
+
+import pytest
+
+from sluiceway.llm import warc
+from sluiceway.llm.registry import ORACLES, QUERIES
+from oracle import compare, database
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_query_gives_what_its_oracle_gives(spark):
+    assert compare(QUERIES["op9_warc"](spark, SF), database(SF), ORACLES["op9_warc"]) is None
+
+
+def brute(rows, least):
+    bodies = [(k, (h or "").encode()) for k, h in rows]
+    largest = {}
+    for k, b in bodies:
+        largest[b] = max(largest.get(b, float("-inf")), float("-inf") if k is None else k)
+    out = []
+    for k, b in bodies:
+        response = len(b) < least or (float("-inf") if k is None else k) == largest[b]
+        out.append((str(k), len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if response else "revisit", None if response else largest[b]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_round_trip(spark, folder, least):
+    rows = [(1, "same body"), (2, "same body"), (2, "same body"), (None, "same body"), (3, None), (4, ""), (5, "caf\u00e9\r\n" * 30000), (6, "tiny"), (7, "tiny"), (None, "alone")]
+    pages = spark.createDataFrame([(k, "http://a/\r\nWARC-Type: x" if k == 5 else None, h, "x") for k, h in rows], "page_id long, url string, html string, digest string")
+    warc.write_archive(pages, folder + "/a", "page_id", "url", "html", least)
+    got = warc.read_records(spark, folder + "/a").collect()
+    assert sorted([(str(r.key), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == brute(rows, least)
+    rebuilt = warc.rebuilt(spark, folder + "/a").collect()
+    assert sorted(bytes(r.payload) for r in rebuilt) == sorted((h or "").encode() for _, h in rows)
+    for r in rebuilt:
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        length = int(head.split(b"Content-Length: ")[1])
+        assert rest[length:] == b"\r\n\r\n" and head.startswith(b"WARC/1.1\r\n") and head.count(b"WARC-Type: ") <= 2
+        assert rest[:length] == (bytes(r.payload) if b"WARC-Type: response" in head else b"")
+    assert warc.read_payloads(spark, folder + "/a").count() == len({h or "" for _, h in rows})
+
+
+def test_empty_table_and_broken_payload(spark, folder):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write_archive(pages, folder + "/none", "page_id", "url", "html")
+    assert warc.read_records(spark, folder + "/none").count() == 0
+    spark.createDataFrame([("0" * 64, 3, bytearray(b"abc"))], "digest string, bytes long, payload binary").write.parquet(folder + "/bad/payloads")
+    with pytest.raises(Exception, match="match its digest"):
+        warc.read_payloads(spark, folder + "/bad").collect()
