@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluiceway.llm.embeddings import op3_embeddings
+from sluiceway.llm.licences import op6_licences
 from sluiceway.llm.mixing import op1_mix
+from sluiceway.llm.quality import op5_quality
 from sluiceway.llm.simhash import op7_simhash
 from sluiceway.llm.urls import op10_urls
 from sluiceway.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op3_embeddings": op3_embeddings,
+    "op5_quality": op5_quality,
+    "op6_licences": op6_licences,
     "op7_simhash": op7_simhash,
     "op9_warc": op9_warc,
     "op10_urls": op10_urls,

@@ -10,41 +10,26 @@ for certain. 2^(r+1) - 1 keys per fingerprint find all pairs within the radius.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm.shared import components, staged
+from sluiceway.llm.words import word_lists
 
 BITS = 64
 # Fingerprints of one key that are compared inside one task; keys with more are dealt out by blocks of about this size.
 BLOCK = 1024
-# Bytes of a text that are cut into words at a time.
-PIECE = 4 << 20
 SEED = 42
 
 
-def _word_lists(text: bytes, width: int) -> Iterator[list[bytes]]:
-    """Words of a text by pieces; each list starts with the last words of the one before."""
-    start, before = 0, []
-    while start < len(text):
-        end = min(start + PIECE, len(text))
-        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
-            end += 1
-        words = before + text[start:end].split()
-        yield words
-        before, start = words[len(words) - min(width - 1, len(words)) :] if width > 1 else [], end
-
-
 def fingerprint(text: bytes | None, width: int) -> int:
     """Signed 64-bit fingerprint over shingles of `width` words; 0 for a text without words."""
     import xxhash
 
     hashed, ones, total, few = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64), 0, []
-    for words in _word_lists((text or b"").lower(), width):
+    for words in word_lists((text or b"").lower(), width):
         few = words
         rows = [hashed(b" ".join(x), SEED) for x in zip(*(words[k:] for k in range(width)))]
         for at in range(0, len(rows), 1 << 16):

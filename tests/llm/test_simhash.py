@@ -3,7 +3,7 @@ import random
 import pytest
 import xxhash
 
-from sluiceway.llm import simhash
+from sluiceway.llm import simhash, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,5 +88,5 @@ def test_edges(spark):
 def test_a_text_cut_into_pieces_keeps_its_fingerprint(monkeypatch):
     text = " ".join(f"w{i % 91}" for i in range(2000)).encode()
     whole = simhash.fingerprint(text, 4)
-    monkeypatch.setattr(simhash, "PIECE", 37)
+    monkeypatch.setattr(words, "PIECE", 37)
     assert simhash.fingerprint(text, 4) == whole == (lambda p: p - (1 << 64) if p >> 63 else p)(brute_print(text.decode()))
