@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import staged, word_count
+from sluiceway.llm.shared import let, staged, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -83,7 +83,13 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, unit: Column)
     """
     low = F.greatest(F.lit(0.0), drawn + marked - total)
     high = F.least(marked, drawn)
-    mode = F.least(high, F.greatest(low, F.floor((drawn + 1) * (marked + 1) / (total + 2)).cast("double")))
+    likely = F.least(high, F.greatest(low, F.floor((drawn + 1) * (marked + 1) / (total + 2)).cast("double")))
+    return let(likely, lambda mode: _walked(total, marked, drawn, unit, low, high, mode))
+
+
+def _walked(
+    total: Column, marked: Column, drawn: Column, unit: Column, low: Column, high: Column, mode: Column
+) -> Column:
     rest = total - marked - drawn
 
     def down(w: Column, x: Column) -> Column:
@@ -124,7 +130,7 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, unit: Column)
         return walk(above, at_above, state(first_above, first["sum"], first["hit"]), up, goal)
 
     whole = both(F.lit(float("inf")))["sum"]
-    return F.coalesce(both(unit * whole)["hit"], mode)
+    return let(unit * whole, lambda goal: F.coalesce(both(goal)["hit"], mode))
 
 
 def split_quotas(root: DataFrame, shards: int) -> DataFrame:
@@ -140,17 +146,13 @@ def split_quotas(root: DataFrame, shards: int) -> DataFrame:
 
         def step(s: Column, quota: Column) -> Column:
             x = _hypergeometric(s["rest"], quota, s["open"], _unit(F.col("lo"), F.col("hi"), F.size(s["left"])))
-            drawn = F.struct(x.alias("x"))
-            return F.element_at(
-                F.transform(
-                    F.array(drawn),
-                    lambda d: F.struct(
-                        F.concat(s["left"], F.array(d["x"])).alias("left"),
-                        (s["rest"] - quota).alias("rest"),
-                        (s["open"] - d["x"]).alias("open"),
-                    ),
+            return let(
+                x,
+                lambda d: F.struct(
+                    F.concat(s["left"], F.array(d)).alias("left"),
+                    (s["rest"] - quota).alias("rest"),
+                    (s["open"] - d).alias("open"),
                 ),
-                1,
             )
 
         nodes = (

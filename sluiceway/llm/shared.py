@@ -23,6 +23,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, then) -> Column:
+    """`then` of a value. Lambdas that use it many times find it computed, where a plain expression is computed each time."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as a long; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
