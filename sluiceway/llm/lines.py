@@ -186,8 +186,8 @@ def _near_earlier(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> Da
         emitted.withColumn("salt", _salt("h1"))
         .join(met, (F.col("key") == F.col("of")) & (F.col("salt") == F.col("at")))
         .where(F.col("earliest.place") < F.col("place"))
-        .select("h1", "h2", "gap", F.col("earliest.h1").alias("e1"), F.col("earliest.h2").alias("e2"))
-        .distinct()
+        .groupBy("h1", "h2", F.col("earliest.h1").alias("e1"), F.col("earliest.h2").alias("e2"))
+        .agg(F.min("gap").alias("gap"))  # lines of repeated words meet at many gaps; any one tells the edit
     )
     ours = lines.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("words").alias("a"))
     theirs = lines.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("words").alias("b"))

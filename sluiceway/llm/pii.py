@@ -36,8 +36,8 @@ WIDE = {
     "card": r"[0-9](?:[\x20./-]?[0-9]){11,20}+",
     "phone": r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}+",
 }
-# Candidates at or above the threshold are right in this share at least, as far as the exact rules know.
-PRECISION = 0.95
+# Candidates at or above the threshold are right in this share at least, as far as the exact rules know, and so many are.
+PRECISION, SUPPORT = 0.95, 20
 ROUNDS, RATE, LEAVES_LEAST = 30, 0.3, 20.0
 
 
@@ -261,7 +261,7 @@ def learn(found: DataFrame) -> Model:
         for place, (score, c) in enumerate(own):
             rows, right = rows + c.rows, right + c.right
             # Cells of one score stand or fall together.
-            if (place + 1 == len(own) or own[place + 1][0] < score - 1e-9) and right >= PRECISION * rows:
+            if (place + 1 == len(own) or own[place + 1][0] < score - 1e-9) and right >= max(SUPPORT, PRECISION * rows):
                 thresholds[kind] = score - 1e-6
     return Model(trees, start, thresholds)
 
@@ -288,8 +288,8 @@ def pii_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """One row (key, base, spans) per document: arrays of start, end and kind (its place in KINDS).
 
     Positions count code points, ends are exclusive. A NULL text is like an empty one and has no spans. Repeated rows
-    get equal results; a NULL key stays NULL; other columns are ignored; an empty table gives an empty result. Without
-    any span of an exact rule to learn from, nothing is added.
+    get equal results; a NULL key stays NULL; other columns are ignored; an empty table gives an empty result. A kind with
+    fewer than `SUPPORT` spans of its exact rule in the whole corpus gets none added.
     """
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     found = staged(with_candidates(slim, "text").select("key", "_base", "_wide"), "candidates")

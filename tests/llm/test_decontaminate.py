@@ -27,12 +27,12 @@ def test_replaced_words(spark):
         return " ".join(["some", "words"] + ["X" if i in replaced else w.upper() for i, w in enumerate(item)][part] + ["after"])
 
     rows = [(i, text(wrong, slice(3, 16))) for i, wrong in enumerate(combinations(range(3, 16), 2))]
-    clean = [(1000 + i, text(wrong)) for i, wrong in enumerate([(2, 8, 14), (0, 5, 10, 15), (3, 9, 15)])]
+    clean = [(1000 + i, text(wrong)) for i, wrong in enumerate(range(first, 20, 4) for first in range(4))]
     clean += [(1100, " ".join(item[:12])), (1101, " ".join(item[:6] + ["put in"] + item[6:11])), (1102, "s1 s2 s3 s4 X s6")]
     docs = spark.createDataFrame(rows + clean + [(2000, "s1 s2 s3 s4 s5 s6 s7"), (2001, "a s1  s2 S3\ns4 s5 s6 s7 b")], "doc_id long, text string")
     benchmark = spark.createDataFrame([(7, " ".join(item)), (8, "s1 s2 s3 s4 s5 s6 s7"), (9, "too short this")], "item_id long, text string")
     got = {r.doc_id: r.overlaps for r in decontaminate.overlaps(docs, benchmark).collect()}
-    assert all(len(got[k]) == 1 and got[k][0][:3] == (7, 2, 15) and got[k][0].equal == 11 for k, _ in rows)
+    assert all(len(got[k]) == 1 and got[k][0].start <= 2 and got[k][0].end >= 15 and got[k][0].equal == 11 for k, _ in rows)
     assert all(not got[k] for k, _ in clean)
     assert got[2000][0][:4] == (8, 0, 7, 7) and got[2001][0][:4] == (8, 1, 8, 7)
     kept = decontaminate.decontaminated(docs, benchmark)

@@ -39,7 +39,7 @@ def test_query_gives_what_brute_force_gives(spark):
         want = brute(docs[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == nr for _, k, _ in want) for nr in range(4)]
         assert r.base_sha256 == hashlib.sha256(digest(want).encode()).hexdigest()
-        assert set(digest(want).split(",")) <= set(r.spans.split(","))
+        assert not want or set(digest(want).split(",")) <= set(r.spans.split(","))
         found += len(want)
     assert found > 20
 
@@ -69,10 +69,10 @@ def test_edges(spark):
 
 
 def test_redaction(spark):
-    docs = spark.createDataFrame([(1, "to a@b.cd, 53.121.55.90.", 1), (2, None, 1), (3, "call +1 (836) 555-9331 4913187196670932", 1), (4, "clean", 1)], "doc_id long, text string, kind int")
+    docs = spark.createDataFrame([(1, "to a@b.cd, 53.121.55.90.", 1), (2, None, 1), (3, "call +1 (836) 555-9331, 4111 1111 1111 1111", 1), (4, "clean", 1)], "doc_id long, text string, kind int")
     got = pii.redacted(docs)
     assert got.columns == docs.columns
-    assert {r.doc_id: r.text for r in got.collect()} == {1: "to [EMAIL], [IP].", 2: None, 3: "call [PHONE]", 4: "clean"}
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "to [EMAIL], [IP].", 2: None, 3: "call [PHONE], [CARD]", 4: "clean"}
 
 
 def test_trees_learn_and_thresholds_hold(spark):
@@ -80,7 +80,7 @@ def test_trees_learn_and_thresholds_hold(spark):
     good = [f"tel +1 (8{i % 90 + 10}) 555-{1000 + i}" for i in range(300)]
     near = [f"tel (8{i % 90 + 10}) 555-{1000 + i}" for i in range(5)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(good + near + ["room 12345678"] * 40)], "doc_id long, text string")
-    found = pii.with_candidates(docs, "text").select("doc_id", "_base", "_wide")
+    found = pii.staged(pii.with_candidates(docs, "text").select("doc_id", "_base", "_wide"), "test")
     model = pii.learn(found)
     assert 3 in model.thresholds
     rows = {r.doc_id: r.spans for r in pii.pii_spans(docs).collect()}
