@@ -6,6 +6,12 @@ import re
 
 from pyspark.sql import types as T
 
+# Options of text formats that keep a time as it is; Spark's own formats end at the millisecond.
+WHOLE_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 _DECIMAL_ARGS = re.compile(r"^(?:DECIMAL|NUMERIC)[^(]*\(\s*(\d+)\s*,\s*(\d+)\s*\)")
 
 # Descriptor type texts, first match wins, searched in upper case.

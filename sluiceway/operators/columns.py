@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions.casts import lenient_cast
 from sluiceway.functions.names import column
-from sluiceway.functions.types import parse_type, type_class
+from sluiceway.functions.types import WHOLE_TIMES, parse_type, type_class
 
 # Names of the audit and run columns.
 AUDIT_PERIOD = "fecinfo"
@@ -158,8 +158,8 @@ def match_column_case(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def rows_to_json(df: DataFrame, name: str = "value") -> DataFrame:
-    """One JSON text per row; NULL fields are left out of it."""
-    return df.select(F.to_json(F.struct(*map(column, df.columns))).alias(name))
+    """One JSON text per row; NULL fields are left out of it, times keep their microseconds."""
+    return df.select(F.to_json(F.struct(*map(column, df.columns)), WHOLE_TIMES).alias(name))
 
 
 def join_fields(df: DataFrame, delimiter: str = "~|~", name: str = "value") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions.names import column
+from sluiceway.functions.types import WHOLE_TIMES
 
 REASONS = "reject_reasons"
 
@@ -72,13 +73,20 @@ def _key_is_null(keys: Sequence[str]) -> Column:
     return _any([column(k).isNull() for k in keys])
 
 
-def _key_text(keys: Sequence[str]) -> Column:
-    return F.to_json(F.struct(*map(column, keys)))
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A key as text that equal keys share and no others: whole times, and one zero for floating numbers."""
 
+    def exact(name: str) -> Column:
+        if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            return (column(name) + F.lit(0.0)).alias(name)
+        return column(name)
 
-def _digest(keys: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*map(exact, keys)), WHOLE_TIMES)
+
+
+def _digest(df: DataFrame, keys: Sequence[str]) -> Column:
     """A key of any width as 32 bytes that no two keys share."""
-    return F.unhex(F.sha2(_key_text(keys), 256))
+    return F.unhex(F.sha2(_key_text(df, keys), 256))
 
 
 def _rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -110,19 +118,19 @@ def mark_repeated_keys(
     documents are not shuffled themselves.
     """
     if long_keys:
-        digested = df.withColumn("_long_key", F.when(~_key_is_null(keys), _digest(keys)))
+        digested = df.withColumn("_long_key", F.when(~_key_is_null(keys), _digest(df, keys)))
         return mark_repeated_keys(
             digested, ["_long_key"], name, hot_rows, hot_keys, few_repeats
         ).drop("_long_key")
     counts = _rows_per_key(df, keys)
     places = [f"_key_{i}" for i in range(len(keys))]
     repeated = counts.where(F.col("_rows") > 1).select(
-        *[column(k).alias(p) for k, p in zip(keys, places)], F.lit(0).alias("_repeat_spread")
+        *[column(k).alias(p) for k, p in zip(keys, places)], F.xxhash64(*map(column, keys)).alias("_repeat_place")
     )
     same_key = [column(k) == F.col(p) for k, p in zip(keys, places)]
     if few_repeats:
         return df.join(F.broadcast(repeated), reduce(and_, same_key), "left").select(
-            *map(column, df.columns), F.col("_repeat_spread").isNotNull().alias(name)
+            *map(column, df.columns), F.col("_repeat_place").isNotNull().alias(name)
         )
     hot = (
         counts.where(F.col("_rows") >= F.lit(hot_rows))
@@ -131,22 +139,25 @@ def mark_repeated_keys(
         .limit(hot_keys)
         .select(
             F.xxhash64(*map(column, keys)).alias("_hot_hash"),
-            _digest(keys).alias("_hot_digest"),
+            _digest(df, keys).alias("_hot_digest"),
         )
     )
     # Only the hash is a join key; the costlier digest is left to settle the few
     # rows the hash matches, hence a comparison Spark does not turn into a key.
-    same_digest = F.array_contains(F.array("_hot_digest"), _digest(keys))
+    same_digest = F.array_contains(F.array("_hot_digest"), _digest(df, keys))
     is_hot = (F.xxhash64(*map(column, keys)) == F.col("_hot_hash")) & same_digest
-    spread = F.when(
-        F.col("_hot_hash").isNotNull() | _key_is_null(keys), F.spark_partition_id() + 1
-    ).otherwise(0)
-    # spark_partition_id gives a re-run task the same spread, unlike a random salt.
-    rows = df.join(F.broadcast(hot), is_hot, "left").withColumn("_spread", spread)
-    same_place = reduce(and_, same_key, F.col("_spread") == F.col("_repeat_spread"))
+    # A hot key is known to repeat, and a NULL key never does: their rows need no partner, and
+    # lie wherever they were read. spark_partition_id gives a re-run task the same place,
+    # unlike a random salt. All other rows lie at the hash of their key.
+    hashed = F.xxhash64(*map(column, keys))
+    place = F.when(
+        F.col("_hot_hash").isNotNull() | _key_is_null(keys), F.spark_partition_id().cast("long")
+    ).otherwise(hashed)
+    rows = df.join(F.broadcast(hot), is_hot, "left").withColumn("_place", place)
+    same_place = reduce(and_, same_key, F.col("_place") == F.col("_repeat_place"))
     return rows.join(repeated, same_place, "left").select(
         *map(column, df.columns),
-        (F.col("_hot_hash").isNotNull() | F.col("_repeat_spread").isNotNull()).alias(name),
+        (F.col("_hot_hash").isNotNull() | F.col("_repeat_place").isNotNull()).alias(name),
     )
 
 
@@ -187,7 +198,7 @@ def _totals(
             nothing.alias("repeated_bytes"),
         )
     if long_keys:
-        digest = F.when(~_key_is_null(keys), _digest(keys)).alias("_long_key")
+        digest = F.when(~_key_is_null(keys), _digest(df, keys)).alias("_long_key")
         df, keys = df.select(digest, blank.alias("_is_blank")), ["_long_key"]
         blank = F.col("_is_blank")
     per_key = df.groupBy(*map(column, keys)).agg(
@@ -203,7 +214,7 @@ def _totals(
         added_up(F.col("_rows")).alias("total"),
         added_up(F.when(whole, F.col("_rows")).otherwise(F.col("_blank"))).alias("rejected"),
         F.count_if(repeated).alias("repeated_keys"),
-        added_up(F.when(repeated, F.octet_length(_key_text(keys)))).alias("repeated_bytes"),
+        added_up(F.when(repeated, F.octet_length(_key_text(df, keys)))).alias("repeated_bytes"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from sluiceway.functions.names import column, is_yes, name_list, stamp_period
+from sluiceway.functions.types import WHOLE_TIMES
 from sluiceway.operators.columns import run_partitions
 from sluiceway.operators.protection import Method, protect_columns
 
@@ -57,7 +58,7 @@ def present_partitions(df: DataFrame, names: Sequence[str]) -> list[str]:
 def _as_text(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """The row as JSON in ``value``, partition columns beside it."""
     # A text sink takes one data column, and a partition column may not share its name.
-    packed = F.to_json(F.struct(*map(column, df.columns)))
+    packed = F.to_json(F.struct(*map(column, df.columns)), WHOLE_TIMES)
     return df.select(packed.alias("value"), *[column(p) for p in partition_by if p != "value"])
 
 
@@ -104,7 +105,7 @@ def write_files(
     writer: DataFrameWriter = df.write.format(file_format).mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
-    options: dict[str, object] = {}
+    options: dict[str, object] = dict(WHOLE_TIMES) if file_format in ("csv", "json") else {}
     if compression:
         options["compression"] = compression
     if file_format == "csv":

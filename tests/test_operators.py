@@ -184,8 +184,12 @@ def test_rows_of_a_hot_key_do_not_meet_in_one_task(spark):
         df = spark.range(0, 4000, 1, 16).select((F.col("id") % 4000 < 3900).alias("hot"), "id")
         df = df.select(F.when(F.col("hot"), F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
         marked = mark_repeated_keys(df, ["k"], hot_rows=1000)
-        spread = marked.where("k = -1").groupBy(F.spark_partition_id()).count()
-        assert spread.count() > 4
+        # The mark is used in the count, or the join with the repeated keys would be optimised away.
+        spread = marked.where("k = -1").groupBy(F.spark_partition_id()).agg(F.count_if("repeated").alias("n")).collect()
+        assert len(spread) > 4 and sum(r.n for r in spread) == 3900
+        nulls = mark_repeated_keys(df.select(F.when(F.col("k") >= 0, F.col("k")).alias("k"), "id"), ["k"], hot_rows=1000)
+        spread = nulls.where("k is null").groupBy(F.spark_partition_id()).agg(F.count_if(~F.col("repeated")).alias("n")).collect()
+        assert len(spread) > 4 and sum(r.n for r in spread) == 3900
         assert marked.where("repeated").count() == 3900
         rows = marked.collect()
         plan = marked._jdf.queryExecution().executedPlan().toString()
@@ -206,6 +210,26 @@ def test_float_keys_that_are_equal_repeat(spark):
     assert mark_repeated_keys(df, ["k"]).where("repeated").count() == 4
 
 
+def test_long_keys_tell_keys_apart_as_plain_ones_do(spark):
+    keys = {
+        "timestamp": ["2020-01-01 00:00:00.000001", "2020-01-01 00:00:00.000002", "2020-01-01 00:00:00.000002"],
+        "timestamp_ntz": ["2020-01-01 00:00:00.000001", "2020-01-01 00:00:00.000002", "2020-01-01 00:00:00.000002"],
+        "double": ["0.0", "-0.0", "NaN", "NaN", "1.0", "1.0000000000000002"],
+        "float": ["0.0", "-0.0", "NaN", "NaN", "1.0", "1.1"],
+        "decimal(20,6)": ["1.000001", "1.000002", "1.000001"],
+        "string": ["a", "a ", "a", ""],
+        "binary": ["a", "b", "a"],
+        "date": ["2020-01-01", "2020-01-02", "2020-01-01"],
+        "bigint": ["1", "2", "1"],
+    }
+    for kind, values in keys.items():
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "t string").select(F.col("t").cast(kind).alias("k"), "t")
+        plain, long = (
+            sorted(map(str, mark_repeated_keys(df, ["k"], long_keys=long).select("t", "repeated").collect())) for long in (False, True)
+        )
+        assert plain == long, kind
+
+
 def test_totals_and_limit(spark):
     df = keyed(spark)
     bad = sum(bool(r) for *_, r in expected_reasons())

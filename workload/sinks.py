@@ -31,18 +31,18 @@ def sink_csv(spark, sf_dir):
     return read_delimited(spark, path, schema=rows.schema, delimiter=";", header=True)
 
 
-@query("sink_json", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("sink_json", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def sink_json(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    rows = table(spark, sf_dir, "events")
     path = staging_folder(spark, "sink")
     write_files(rows, path, "json")
     return spark.read.schema(rows.schema).json(path)
 
 
-@query("sink_text_rows", "SELECT doc_id, text, lang FROM documents")
+@query("sink_text_rows", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def sink_text_rows(spark, sf_dir):
     """Whole rows as JSON text, partitioned by one of their columns."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = table(spark, sf_dir, "documents")
     path = staging_folder(spark, "sink")
     write_files(rows, path, "text", partition_by=["lang"], compression="gzip")
     lines = spark.read.schema("value string, lang string").text(path)
