@@ -157,7 +157,7 @@ def _near_earlier(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> Da
     )
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     lines = (
-        texts.join(wanted, F.col("key").eqNullSafe(F.col("in")))
+        texts.join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("in")))
         .select(
             "key",
             F.explode(
@@ -176,15 +176,18 @@ def _near_earlier(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> Da
     )
     lines = staged(lines, "lines")
     lines = lines.withColumn("place", F.struct(F.col("key").isNull().alias("last"), "key", "nr"))
-    emitted = (
-        lines.select("h1", "h2", "place", F.explode(let(_sums(F.col("words")), lambda s: _variants(s, F.size("words")))).alias("variant"))
-        .select("h1", "h2", "place", "variant.*")
-    )
-    earliest = F.min(F.struct("place", "h1", "h2")).alias("earliest")
-    met = _shared_keys(emitted, "key", [earliest])
+    emitted = lines.select(
+        "h1", F.explode(let(_sums(F.col("words")), lambda s: _variants(s, F.size("words")))).alias("variant")
+    ).select("h1", "variant.*")
+    # Nearly all variants are met once: only their hashes are counted, and what belongs to the others is read later.
+    shared_variants = staged(_shared_keys(emitted, "key", []), "variants")
+    at_salt = (F.col("key") == F.col("of")) & (F.col("salt") == F.col("at"))
+    members = emitted.withColumn("salt", _salt("h1")).join(shared_variants, at_salt, "left_semi")
+    places = lines.select(F.col("h1").alias("p1"), "h2", "place")
+    members = staged(members.join(places, F.col("h1") == F.col("p1")).drop("p1"), "members")
+    met = _shared_keys(members, "key", [F.min(F.struct("place", "h1", "h2")).alias("earliest")])
     pairs = (
-        emitted.withColumn("salt", _salt("h1"))
-        .join(met, (F.col("key") == F.col("of")) & (F.col("salt") == F.col("at")))
+        members.join(met, at_salt)
         .where(F.col("earliest.place") < F.col("place"))
         .groupBy("h1", "h2", F.col("earliest.h1").alias("e1"), F.col("earliest.h2").alias("e2"))
         .agg(F.min("gap").alias("gap"))  # lines of repeated words meet at many gaps; any one tells the edit
@@ -242,7 +245,8 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
     cut = let(lines_of(F.col(text).cast("string")), kept)
-    joined = docs.join(gone, F.col(key).cast("long").eqNullSafe(F.col("_in")), "left")
+    # What is known per document grows with the documents, so it is never sent to every executor.
+    joined = docs.join(gone.hint("merge"), F.col(key).cast("long").eqNullSafe(F.col("_in")), "left")
     return joined.withColumn(
         text, F.when(F.col("_numbers").isNull() | F.col(text).isNull(), F.col(text)).otherwise(cut)
     ).select(*[F.col(f"`{c}`") for c in docs.columns])
