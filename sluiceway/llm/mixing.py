@@ -22,6 +22,8 @@ SHARE = 1.5
 MOST = 2.0
 BINS = 64
 SHARDS = 128
+# Blocks up to which they are sent to every executor; beyond, documents and blocks are shuffled.
+BROADCAST_BLOCKS = 200_000
 SEED = 17
 
 
@@ -178,6 +180,28 @@ def split_quotas(root: DataFrame, shards: int) -> DataFrame:
     return nodes.select(F.col("lo").alias("shard"), "quotas")
 
 
+def _placed(docs: DataFrame, key: str, text: str, source: str, bins: int) -> DataFrame:
+    """`docs` with source, words, hash of key and text, and the block (size class, bin) they lie in."""
+    placed = docs.select(
+        "*",
+        F.col(source).cast("string").alias("_source"),
+        word_count(F.col(text)).alias("_size"),
+        F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("_print"),
+    )
+    size_class = F.when(F.col("_size") > 0, F.length(F.bin("_size"))).otherwise(0)
+    return placed.select("*", size_class.alias("_class"), F.pmod("_print", F.lit(bins)).cast("int").alias("_bin"))
+
+
+def _with_shards(rows: DataFrame, dealt: DataFrame) -> DataFrame:
+    """Rows of `_placed` with the shards of their block's copies; the blocks are sent to every executor while few."""
+    blocks = F.broadcast(dealt) if dealt.count() <= BROADCAST_BLOCKS else dealt
+    return rows.join(
+        blocks,
+        F.col("_source").eqNullSafe(F.col("of")) & (F.col("_class") == F.col("in")) & (F.col("_bin") == F.col("at")),
+        "left",
+    )
+
+
 def mix_plan(
     docs: DataFrame,
     key: str = "doc_id",
@@ -189,25 +213,44 @@ def mix_plan(
     shards: int = SHARDS,
     bins: int = BINS,
 ) -> DataFrame:
-    """What the mix takes: one row (key, print, source, size, source_size, target, taken, shards) per document.
+    """What the mix takes: one row (key, source, size, source_size, target, taken, shards) per document.
 
-    `size` counts words, `taken` is size times the copies taken, `shards` holds the shard of every copy and `print` is
-    a hash of key and text. A NULL text has no words and is like an empty one: taken 0, no shard. A NULL source is a
+    `size` counts words, `taken` is size times the copies taken, and `shards` holds the shard of every copy. A NULL text has no words and is like an empty one: taken 0, no shard. A NULL source is a
     source of its own, the last. A source without words has target 0. Repeated rows are equal in hash, so the mix takes
     them together. An empty table gives an empty plan. All draws come from hashes: reruns agree.
     """
-    sizes = staged(
-        docs.select(
-            F.col(key).alias("key"),
-            F.col(source).cast("string").alias("source"),
-            word_count(F.col(text)).alias("size"),
-            F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("print"),
+    sizes, dealt, about = _deal(docs, key, text, source, weights, share, most, shards, bins)
+    return (
+        _with_shards(sizes, dealt)
+        .join(about, F.col("_source").eqNullSafe(F.col("name")))
+        .select(
+            "key",
+            F.col("_source").alias("source"),
+            F.col("_size").alias("size"),
+            "source_size",
+            "target",
+            (F.col("_size") * F.coalesce(F.size("shards"), F.lit(0))).cast("long").alias("taken"),
+            F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
         )
-        .withColumn("class", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0))
-        .withColumn("bin", F.pmod("print", F.lit(bins)).cast("int")),
-        "sizes",
     )
-    blocks = sizes.groupBy("source", "class", "bin").agg(F.sum("size").alias("words"))
+
+
+def _deal(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    source: str,
+    weights: tuple,
+    share: float,
+    most: float,
+    shards: int,
+    bins: int,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents without their texts, the shards of each block (of, in, at), and each source's size and target."""
+    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
+    sizes = staged(_placed(slim, "key", "text", "source", bins).drop("text", "source"), "sizes")
+    named = sizes.select(*[F.col(f"_{c}").alias(c) for c in ("source", "size", "class", "bin")])
+    blocks = named.groupBy("source", "class", "bin").agg(F.sum("size").alias("words"))
     block = F.struct(
         (-F.col("class")).alias("order"),
         F.xxhash64(F.lit(SEED), "source", "class", "bin").alias("place"),
@@ -278,38 +321,29 @@ def mix_plan(
         .agg(F.sort_array(F.collect_list("item.deal")).alias("shards"))
     )
     dealt = staged(dealt.select(F.col("source").alias("of"), F.col("class").alias("in"), F.col("bin").alias("at"), "shards"), "dealt")
-    about = chosen.select(F.col("source").alias("name"), "source_size", "target")
-    return (
-        sizes.join(
-            dealt,
-            F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("in")) & (F.col("bin") == F.col("at")),
-            "left",
-        )
-        .join(about, F.col("source").eqNullSafe(F.col("name")))
-        .select(
-            "key",
-            "print",
-            "source",
-            "size",
-            "source_size",
-            "target",
-            (F.col("size") * F.coalesce(F.size("shards"), F.lit(0))).cast("long").alias("taken"),
-            F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
-        )
-    )
+    return sizes, dealt, chosen.select(F.col("source").alias("name"), "source_size", "target")
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", shards: int = SHARDS, **how) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple = WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST,
+    shards: int = SHARDS,
+    bins: int = BINS,
+) -> DataFrame:
     """The mixed documents: a row with all columns per copy, and the columns `shard` and `copy` of the mix.
 
-    Rows are dealt out by shard and shuffled by hash within each. A clashing column `shard` or `copy` of the input is
-    replaced.
+    Rows are dealt out by shard and shuffled by hash within each: the one shuffle that texts go through. A clashing
+    column `shard` or `copy` of the input is replaced.
     """
-    plan = staged(mix_plan(docs, key, text, source, shards=shards, **how).select("print", "shards").distinct(), "plan")
-    rows = docs.drop("shard", "copy").withColumn("_print", F.xxhash64(F.lit(SEED), F.col(key), F.col(text)))
-    copies = (
-        rows.join(plan, rows["_print"] == plan["print"])
-        .select(*[rows[f"`{c}`"] for c in rows.columns], F.posexplode("shards").alias("copy", "shard"))
+    _, dealt, _ = _deal(docs, key, text, source, weights, share, most, shards, bins)
+    rows = docs.drop("shard", "copy")
+    copies = _with_shards(_placed(rows, key, text, source, bins), dealt).select(
+        *[F.col(f"`{c}`") for c in rows.columns], "_print", F.posexplode("shards").alias("copy", "shard")
     )
     return (
         copies.repartition(F.col("shard"))
