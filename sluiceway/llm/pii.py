@@ -240,16 +240,16 @@ def learn(found: DataFrame) -> Model:
     cells = (
         found.select(F.explode("_wide").alias("c"))
         .groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES])
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("c.label").cast("long")).alias("right"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("c.label").cast("long")).alias("hits"))
         .collect()
     )
     cells = sorted(cells)
-    total, right = sum(c.rows for c in cells), sum(c.right for c in cells)
+    total, right = sum(c.rows for c in cells), sum(c.hits for c in cells)
     start = math.log((right + 1) / (total - right + 1))
     scores, trees = [start] * len(cells), []
     for _ in range(ROUNDS if cells else 0):
         chances = [1 / (1 + math.exp(-s)) for s in scores]
-        tree = _grow([(c, c.right - c.rows * p, c.rows * p * (1 - p), c.rows) for c, p in zip(cells, chances)], 3)
+        tree = _grow([(c, c.hits - c.rows * p, c.rows * p * (1 - p), c.rows) for c, p in zip(cells, chances)], 3)
         if not isinstance(tree, Tree):
             break
         trees.append(tree)
@@ -259,7 +259,7 @@ def learn(found: DataFrame) -> Model:
         rows = right = 0
         own = sorted(((s, c) for s, c in zip(scores, cells) if c.kind == kind), key=lambda x: -x[0])
         for place, (score, c) in enumerate(own):
-            rows, right = rows + c.rows, right + c.right
+            rows, right = rows + c.rows, right + c.hits
             # Cells of one score stand or fall together.
             if (place + 1 == len(own) or own[place + 1][0] < score - 1e-9) and right >= max(SUPPORT, PRECISION * rows):
                 thresholds[kind] = score - 1e-6
