@@ -29,16 +29,26 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
-    """Hash of every place of every mask: place p of mask k stands at the masks' counts of places before, plus p."""
+def _seeds(hashes: Column, at: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
+    """Hash of the words every mask looks at when it stands at word `at`; NULL where a mask reaches beyond the text."""
 
     def of(nr: int, mask: tuple[int, ...]) -> Column:
-        last = F.size(hashes) - mask[-1] - 1
-        seed = lambda p: F.xxhash64(F.lit(nr), *[F.get(hashes, p + x) for x in mask])
-        places = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda p: F.struct(p.alias("at"), seed(p).alias("seed"))))
-        return F.coalesce(places, F.array())
+        return F.when(at + mask[-1] < F.size(hashes), F.xxhash64(F.lit(nr), *[F.get(hashes, at + x) for x in mask]))
 
-    return F.concat(*[of(nr, mask) for nr, mask in enumerate(masks)])
+    return F.array(*[of(nr, mask) for nr, mask in enumerate(masks)])
+
+
+def _places(texts: DataFrame, hashes: str, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
+    """Every place of every mask: the columns of `texts` but for `hashes`, and (at, seed).
+
+    Words become rows before they are hashed together: that stays in generated code, where a lambda over the words
+    would be interpreted. The generators are outer ones, since for others Spark asks for the array's size first and
+    computes it twice for that.
+    """
+    rest = [c for c in texts.columns if c != hashes]
+    placed = texts.select(*rest, hashes, F.posexplode_outer(hashes).alias("at", "_word"))
+    found = placed.select(*rest, "at", F.explode_outer(_seeds(F.col(hashes), F.col("at"), masks)).alias("seed"))
+    return found.where("seed is not null")
 
 
 def _compared(words: Column, test: Column, shift: Column, window: int, errors: int) -> Column:
@@ -90,20 +100,18 @@ def overlaps(
     # A whole short item is a mask of its own; there is one for each length below the window, at most.
     lengths = [r.n for r in tests.where(F.size("test") < window).select(F.size("test").alias("n")).distinct().collect()]
     masks = (*masks, *(tuple(range(n)) for n in sorted(lengths)))
-    seeds = staged(
-        tests.select("item", "test", F.explode(_seeds(F.col("test"), masks)).alias("s"))
-        .select("item", "test", F.col("s.at").alias("item_at"), F.col("s.seed").alias("item_seed")),
-        "seeds",
-    )
+    seeds = tests.select("item", F.col("test").alias("hashes"))
+    seeds = _places(seeds, "hashes", masks).withColumnsRenamed({"at": "item_at", "seed": "item_seed"})
+    seeds = staged(seeds.select("item", "item_at", "item_seed"), "seeds")
     slim = seeds.select("item_seed", "item", "item_at")
     if slim.count() <= BROADCAST_SEEDS:
         slim = F.broadcast(slim)
     body = F.col(text).cast("string")
-    places = docs.select(
+    words = docs.select(
         F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("print"), word_hashes(body).alias("hashes")
-    ).select("key", "print", F.explode(let(F.col("hashes"), lambda h: _seeds(h, masks))).alias("s"))
+    )
     hits = (
-        places.select("key", "print", F.col("s.at").alias("at"), F.col("s.seed").alias("seed"))
+        _places(words, "hashes", masks)
         .join(slim, F.col("seed") == F.col("item_seed"))
         .select("key", "print", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
