@@ -25,8 +25,12 @@ RUN_PERIOD = "fecinformacion"
 
 def null_to_empty(df: DataFrame) -> DataFrame:
     """NULL becomes '' in every string column."""
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.fillna("", subset=names) if names else df
+
+    def filled(field: T.StructField):
+        value = column(field.name)
+        return F.coalesce(value, F.lit("")) if isinstance(field.dataType, T.StringType) else value
+
+    return df.select(*[filled(f).alias(f.name) for f in df.schema.fields])
 
 
 def clean_blanks(

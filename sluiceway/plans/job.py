@@ -51,6 +51,5 @@ class Job:
         return found
 
     def parallelism(self) -> int:
-        """How many independent loads may run at the same time."""
-        own = _named(self.process, "transform") or _named(self.shared, "transform") or {}
-        return max(1, int(own.get("parallelism", 4)))
+        """How many independent loads may run at the same time; without a setting, they run in document order."""
+        return max(1, int(self.settings("load").get("parallelism", 1)))

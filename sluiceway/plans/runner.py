@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
+import warnings
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
@@ -11,6 +13,7 @@ from threading import Thread
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ from sluiceway.plans.transforms import Transform, consumers, load_transforms, ru
 from sluiceway.sinks import jdbc
 from sluiceway.sinks.files import Tap, load_files, no_tap, output_path, write_files
 from sluiceway.sinks.staging import staging_folder
-from sluiceway.sinks.tables import load_table
+from sluiceway.sinks.tables import load_table, table_location
 
 # Load types, in lower case, by the sink they stand for.
 FILE_LOADS = ("s3",)
@@ -71,6 +74,28 @@ def load_target(load: Mapping[str, Any], job: Job) -> str:
     return f"{kind}:{props.get('connection_name') or 'default'}:{props.get('dbtable')}"
 
 
+def _place(load: Mapping[str, Any], job: Job, spark: SparkSession) -> tuple[str, str]:
+    """Where a load's rows end up: a folder, which for a catalog table is the table's, or a remote table."""
+    kind, props = load_kind(load), load.get("load_properties") or {}
+    target = load_target(load, job)
+    if kind in TABLE_LOADS:
+        try:
+            target = table_location(spark, str(props.get("schema")).strip(), str(props.get("table")).strip())
+        except (AnalysisException, ValueError):
+            return "table", target.lower()
+    elif kind not in FILE_LOADS:
+        # Two connections may lead to one database, so tables are told apart by their own name only.
+        return "remote", str(props.get("dbtable")).split(".")[-1].strip().strip('"`').lower()
+    return "folder", re.sub(r"^file:/*", "/", re.sub(r"(?<!:)/+", "/", target)).rstrip("/") + "/"
+
+
+def _overlap(a: tuple[str, str], b: tuple[str, str]) -> bool:
+    """Do two loads touch the same place, or one a folder inside the other's?"""
+    if a[0] != b[0]:
+        return False
+    return a[1].startswith(b[1]) or b[1].startswith(a[1]) if a[0] == "folder" else a[1] == b[1]
+
+
 def run_load(
     df: DataFrame,
     load: Mapping[str, Any],
@@ -102,6 +127,7 @@ class _Run:
         self.job = job
         self.methods = methods
         self.entries: list[Entry] = []
+        self.rows_of: list[tuple[DataFrame, int]] = []
 
     def note(self, stage: str, target: str, rows: int | None, error: BaseException | None = None) -> None:
         self.entries.append(
@@ -122,6 +148,9 @@ class _Run:
     def load(self, df: DataFrame, load: Mapping[str, Any]) -> None:
         """Run one load and count its rows on the way, without a pass of its own.
 
+        The count is kept with the frame it came from: loads of one target may
+        take different frames.
+
         The count sits in the writing stage, after any shuffle, where a task
         that is run again is counted once.
         """
@@ -135,15 +164,20 @@ class _Run:
             if isinstance(error, ProtectionError) or not tolerant:
                 raise
         else:
-            self.note("load", target, _rows_seen(seen))
+            rows = _rows_seen(seen)
+            self.note("load", target, rows)
+            if rows is not None:
+                self.rows_of.append((df, rows))
 
 
-def _rows_seen(seen: Observation, seconds: float = 30) -> int | None:
-    """The observed row count, or None where a sink reports none in time."""
-    found: list[int] = []
-    waiter = Thread(target=lambda: found.append(seen.get["rows"]), daemon=True)
+def _rows_seen(seen: Observation, seconds: float = 600) -> int | None:
+    """The row count of a write that has ended; its report may be on its way. None, with a warning, where none comes."""
+    found: list[int | None] = []
+    waiter = Thread(target=lambda: found.append(seen.get.get("rows")), daemon=True)
     waiter.start()
     waiter.join(seconds)
+    if not found:
+        warnings.warn("a load ended but reported no row count", stacklevel=2)
     return found[0] if found else None
 
 
@@ -175,22 +209,26 @@ def _check_loads(loads: list[dict[str, Any]], transforms: list[Transform], job:
 
 
 def _run_loads(run: _Run, work: list[tuple[DataFrame, Mapping[str, Any]]]) -> None:
-    """Loads of one target run in order; different targets run side by side."""
-    by_target: dict[str, list[tuple[DataFrame, Mapping[str, Any]]]] = {}
-    for df, load in work:
-        by_target.setdefault(load_target(load, run.job), []).append((df, load))
+    """Loads run in document order and end at the first failure, unless the job asks for parallel ones.
+
+    Even then loads whose places overlap keep their order.
+    """
 
     def run_all(items: list[tuple[DataFrame, Mapping[str, Any]]]) -> None:
         for df, load in items:
             run.load(df, load)
 
-    workers = min(run.job.parallelism(), max(1, len(by_target)))
-    if workers == 1:
+    if run.job.parallelism() == 1 or len(work) == 1:
         run_all(work)
         return
-    with ThreadPoolExecutor(workers) as pool:
-        spark = work[0][0].sparkSession
-        futures = [pool.submit(inheritable_thread_target(spark)(run_all), items) for items in by_target.values()]
+    spark = work[0][0].sparkSession
+    places = [_place(load, run.job, spark) for _, load in work]
+    groups: list[list[int]] = []
+    for nr, place in enumerate(places):
+        touched = [g for g in groups if any(_overlap(place, places[i]) for i in g)]
+        groups = [g for g in groups if g not in touched] + [sorted([nr, *(i for g in touched for i in g)])]
+    with ThreadPoolExecutor(min(run.job.parallelism(), len(groups))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(run_all), [work[i] for i in g]) for g in groups]
         try:
             for future in as_completed(futures):
                 future.result()
@@ -254,7 +292,7 @@ def run_job(
         if work:
             _run_loads(run, work)
         for ident in frames:
-            rows = counted[ident] if ident in counted else _rows_of(run, work, frames[ident])
+            rows = counted[ident] if ident in counted else _rows_of(run, frames[ident])
             run.note("transform", f"tx_{ident}", rows)
         return JobResult(run.id, base, frames, run.entries)
     except Exception as error:
@@ -267,8 +305,6 @@ def run_job(
             append_log(spark, log_path, run.entries)
 
 
-def _rows_of(run: _Run, work: list[tuple[DataFrame, Mapping[str, Any]]], df: DataFrame) -> int | None:
+def _rows_of(run: _Run, df: DataFrame) -> int | None:
     """A transform's rows are those of any load that took them."""
-    targets = {load_target(load, run.job) for frame, load in work if frame is df}
-    rows = [e.rows for e in run.entries if e.stage == "load" and e.target in targets and e.rows is not None]
-    return rows[0] if rows else None
+    return next((rows for frame, rows in run.rows_of if frame is df), None)

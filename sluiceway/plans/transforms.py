@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from graphlib import CycleError, TopologicalSorter
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.functions.names import quoted
@@ -36,12 +36,14 @@ class Transform:
     A result with several consumers is by default persisted while they run.
     ``table`` writes it to the shared folder instead, which outlives the loss of
     executors; ``none`` computes it for each consumer, which is best where the
-    text is a cheap filter or projection that reaches the scan.
+    text is a cheap filter or projection that reaches the scan.  ``relations``
+    are the names of relations the text reads, where Spark has parsed it.
     """
 
     id: str
     sql: str
     share: str = "persist"
+    relations: frozenset[str] | None = None
 
     def __post_init__(self) -> None:
         if self.share not in SHARING:
@@ -52,9 +54,24 @@ class Transform:
         return RESULT_VIEW + self.id
 
     def reads(self, ids: Collection[str]) -> set[str]:
-        """Which of the given transforms this one's text mentions."""
-        words = set(re.findall(rf"\b{RESULT_VIEW}(\w+)", self.sql, flags=re.IGNORECASE))
-        return {i for i in ids if i != self.id and i.lower() in {w.lower() for w in words}}
+        """Which of the given transforms this one reads; without parsed relations, which its text mentions."""
+        if self.relations is None:
+            names = {w.lower() for w in re.findall(rf"\b{RESULT_VIEW}\w+", self.sql, flags=re.IGNORECASE)}
+        else:
+            names = self.relations
+        return {i for i in ids if i != self.id and (RESULT_VIEW + i).lower() in names}
+
+
+def relations_of(spark: SparkSession, sql: str) -> frozenset[str] | None:
+    """Names, in lower case, of the relations a SQL text reads, as Spark's parser finds them; None if it can't.
+
+    A text that can't be parsed fails when it is run, and only if somebody asks for it.
+    """
+    try:
+        parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql.replace(INPUT_TOKEN, BASE_VIEW))
+    except ParseException:
+        return None
+    return frozenset(name.lower() for name in re.findall(r"UnresolvedRelation \[(\w+)\]", parsed.toString()))
 
 
 def read_sql(spark: SparkSession, folder: str, name: str) -> str:
@@ -92,7 +109,8 @@ def load_transforms(
             text = read_sql(spark, sql_folder, text)
         elif kind is None and text.lower().endswith(".sql"):
             warnings.warn(f"transform {ident} names no type, {text!r} is taken as SQL text", stacklevel=2)
-        found[ident] = Transform(ident, text, str(module.get("share") or "persist").lower())
+        share = str(module.get("share") or "persist").lower()
+        found[ident] = Transform(ident, text, share, relations_of(spark, text))
     return list(found.values())
 
 
@@ -125,12 +143,15 @@ def _views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[Non
     """Temporary views for the time of one resolution; earlier ones come back after it."""
     with _VIEWS:
         earlier = {name: spark.table(name) if _is_temp_view(spark, name) else None for name in frames}
+        created = []
         try:
             for name, df in frames.items():
                 df.createOrReplaceTempView(name)
+                created.append(name)
             yield
         finally:
-            for name, df in earlier.items():
+            for name in created:
+                df = earlier[name]
                 if df is None:
                     # catalog.dropTempView would also unpersist the frame behind the view.
                     spark.sql(f"DROP VIEW IF EXISTS {quoted(name)}")

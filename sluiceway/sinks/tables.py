@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +29,26 @@ def table_inventory(spark: SparkSession, schema: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {quoted(schema)}").where(~F.col("isTemporary")).select("tableName")
 
 
+def _described(spark: SparkSession, schema: str, table: str, what: str) -> str | None:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {_full_name(schema, table)}")
+    row = about.where((F.col("col_name") == what) & (F.col("data_type") != "")).first()
+    return row["data_type"] if row else None
+
+
 def table_location(spark: SparkSession, schema: str, table: str) -> str:
     """Where the table's files lie."""
-    about = spark.sql(f"DESCRIBE TABLE EXTENDED {_full_name(schema, table)}")
-    row = about.where((F.col("col_name") == "Location") & (F.col("data_type") != "")).first()
-    if row is None:
+    location = _described(spark, schema, table, "Location")
+    if location is None:
         raise ValueError(f"table {schema}.{table} has no location")
-    return row["data_type"].rstrip("/")
+    return location.rstrip("/")
+
+
+def table_format(spark: SparkSession, schema: str, table: str, asked: str | None = None) -> str:
+    """The format of the table's files; another one that is asked for is an error."""
+    own = (_described(spark, schema, table, "Provider") or "").lower()
+    if asked and own not in ("", "hive", asked):
+        raise ValueError(f"table {schema}.{table} holds {own}, not {asked}")
+    return asked or (own if own not in ("", "hive") else "parquet")
 
 
 def register_partitions(
@@ -66,6 +80,9 @@ def prepare_table_rows(
     parts = [name for name, _, is_part in columns if is_part]
     out = match_column_case(add_period_for_table(df, parts, period), [c[0] for c in columns])
     missing = [p for p in parts if p not in out.columns]
+    unknown = [c for c in out.columns if c not in [name for name, _, _ in columns]]
+    if unknown:
+        warnings.warn(f"the table has no columns {unknown}, they are left out", stacklevel=2)
     if missing:
         raise ValueError(f"partition columns of the table are not in the data: {missing}")
     return out.select(
@@ -82,7 +99,7 @@ def write_table(
     table: str,
     mode: str = "append",
     period: str | None = None,
-    file_format: str = "parquet",
+    file_format: str | None = None,
     distribute: bool = True,
     only_written_partitions: bool = False,
     tap: Tap = no_tap,
@@ -92,9 +109,11 @@ def write_table(
     The plain way is Spark's insert, which registers just the partitions it
     wrote.  With ``only_written_partitions`` an overwrite keeps the partitions it
     does not write to: files go to the table's location, and then partitions are
-    registered.
+    registered.  ``file_format`` is the table's own unless given, and must agree
+    with it.
     """
     spark = df.sparkSession
+    file_format = table_format(spark, schema, table, file_format)
     columns = table_columns(spark, schema, table)
     parts = [name for name, _, is_part in columns if is_part]
     df = match_column_case(df, [c[0] for c in columns])
@@ -138,7 +157,7 @@ def load_table(
         table,
         mode=str(props.get("mode") or "append").strip().lower(),
         period=period,
-        file_format=str(props.get("format") or "parquet").strip().lower(),
+        file_format=str(props.get("format") or "").strip().lower() or None,
         distribute=is_yes(props.get("distribute", "y")),
         only_written_partitions=is_yes(props.get("only_written_partitions")),
         tap=tap,

@@ -46,10 +46,10 @@ def test_modules_of_a_kind_join_across_blocks():
 
 def test_process_settings_win_key_by_key():
     shared = {"config_app": [{"name": "paths", "properties": {"a": 1, "b": 1}}, {"name": "cnx", "properties": {"password": "pw"}}]}
-    process = {"config_app": [{"name": "paths", "properties": {"b": 2}}, {"name": "transform", "properties": {"parallelism": "3"}}]}
+    process = {"config_app": [{"name": "paths", "properties": {"b": 2}}, {"name": "load", "properties": {"parallelism": "3"}}]}
     both = Job(process, shared)
     assert both.settings("paths") == {"a": 1, "b": 2} and both.settings("none") == {}
-    assert both.parallelism() == 3 and Job({}).parallelism() == 4
+    assert both.parallelism() == 3 and Job({}).parallelism() == 1
     assert both.connection("cnx") == {"password": "pw"} and "pw" not in repr(both)
     with pytest.raises(KeyError):
         both.connection("paths2")
@@ -261,6 +261,50 @@ def test_loads_of_one_target_keep_their_order(spark, folder):
     assert spark.read.parquet(*[f"{folder}/y{i}" for i in range(4)]).count() == 40
 
 
+@pytest.mark.parametrize("parallelism", [1, 4])
+def test_a_load_inside_another_ones_folder_keeps_its_place(spark, folder, parallelism):
+    loads = [file_load(f"{folder}/out", "detail"), file_load(folder, "out", mode="overwrite"), file_load(folder, "else")]
+    settings = {"config_app": [{"name": "load", "properties": {"parallelism": parallelism}}]}
+    run_job(spark, job(loads=loads) | settings, base=rows(spark))
+    assert spark.read.parquet(f"{folder}/out").count() == 10
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{folder}/out/detail")
+
+
+def test_transforms_with_one_target_keep_their_own_counts(spark, folder):
+    texts = [
+        {"transform_id": "1", "transform_sql": "SELECT * FROM source_table"},
+        {"transform_id": "2", "transform_sql": "SELECT * FROM source_table WHERE id < 3"},
+    ]
+    loads = [file_load(folder, "x", "1", mode="append"), file_load(folder, "x", "2", mode="append")]
+    result = run_job(spark, job(texts, loads), base=rows(spark))
+    assert {e.target: e.rows for e in result.entries if e.stage == "transform"} == {"tx_1": 10, "tx_2": 3}
+
+
+def test_literals_and_aliases_are_no_references(spark, folder):
+    texts = [
+        {"transform_id": "id", "transform_sql": "SELECT id AS tx_amount FROM {{SOURCE_INPUT}} -- not tx_amount"},
+        {"transform_id": "amount", "transform_sql": "SELECT 'FROM tx_id' AS t, id FROM {{SOURCE_INPUT}}"},
+        {"transform_id": "b", "transform_sql": "WITH c AS (SELECT * FROM TX_id) SELECT * FROM c WHERE tx_amount IN (SELECT id FROM tx_amount)"},
+    ]
+    found = {t.id: t.reads({"id", "amount", "b"}) for t in load_transforms(spark, texts)}
+    assert found == {"id": set(), "amount": set(), "b": {"id", "amount"}}
+    run_job(spark, job(texts, [file_load(folder, "x", "b")]), base=rows(spark))
+    assert spark.read.parquet(f"{folder}/x").count() == 10
+
+
+def test_a_permanent_view_of_a_results_name_stays(spark, folder):
+    spark.range(3).write.saveAsTable("kept_rows", path=f"{folder}/kept_rows")
+    spark.sql("CREATE OR REPLACE VIEW tx_kept AS SELECT * FROM kept_rows")
+    try:
+        texts = [Transform("kept", "SELECT id FROM source_table"), Transform("s", "SELECT * FROM tx_kept")]
+        assert run_transforms(rows(spark), texts)["s"].count() == 10
+        assert spark.table("tx_kept").count() == 3
+    finally:
+        spark.sql("DROP VIEW tx_kept")
+        spark.sql("DROP TABLE kept_rows")
+
+
 def test_jdbc_loads_go_to_their_sinks(spark, monkeypatch):
     """The writer itself is replaced: no database is at hand."""
     written = []
