@@ -71,7 +71,8 @@ def _destination_type(text: str) -> T.DataType:
     return T.TimestampType() if "timestamp" in lower else T.StringType()
 
 
-_DIALECTS = {"descriptor": _descriptor_type, "destination": _destination_type}
+# Type texts of Spark's own catalog say exactly which type they mean.
+_DIALECTS = {"descriptor": _descriptor_type, "destination": _destination_type, "spark": T.DataType.fromDDL}
 
 
 def parse_type(text: str | None, dialect: str = "descriptor") -> T.DataType:

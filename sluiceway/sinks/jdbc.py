@@ -147,17 +147,18 @@ def aligned_rows(
     destination: Sequence[tuple[str, str]],
     by_position: bool = False,
     null_to_empty: bool = False,
+    dialect: str = "destination",
 ) -> DataFrame:
-    """Rows in the destination's columns and types.
+    """Rows in the destination's columns and types; `dialect` says whose type texts they are.
 
     Aligned by position or by name, blanks cleaned for the type, then cast.  The
     casts turn blank text into NULL by themselves, so only columns that stay
     text are cleaned first.
     """
     types = dict(destination)
-    texts = {n: t for n, t in destination if isinstance(parse_type(t, "destination"), StringType)}
+    texts = {n: t for n, t in destination if isinstance(parse_type(t, dialect), StringType)}
     out = align_by_position(df, destination) if by_position else align_by_name(df, list(types))
-    return cast_to_destination(clean_blanks(out, texts, null_to_empty), types)
+    return cast_to_destination(clean_blanks(out, texts, null_to_empty), types, dialect)
 
 
 def aligned_options(

@@ -251,3 +251,16 @@ def test_totals_and_limit(spark):
     only_critical = check_quality(df, critical=["c"])
     assert only_critical.rejected == 2
     assert flag_quality(df).where(F.size(REASONS) == 0).count() == len(KEYED)
+
+
+def test_types_of_a_spark_inventory_stay(spark):
+    types = ["double", "float", "tinyint", "binary", "decimal(9,3)", "timestamp", "timestamp_ntz", "string"]
+    df = spark.sql("SELECT 1.5 AS a, 1.5 AS b, 1 AS c, 'x' AS d, 1.5 AS e, '2020-01-01 00:00:00.000001' AS f, '2020-01-01' AS g, 1 AS h")
+    out = aligned_rows(df, [(n, t) for n, t in zip("abcdefgh", types)], dialect="spark")
+    assert [t for _, t in out.dtypes] == types
+    assert out.first()["f"].microsecond == 1 and out.first()["d"] == bytearray(b"x")
+
+
+def test_null_to_empty_with_dots_in_names(spark):
+    df = spark.sql("SELECT CAST(NULL AS STRING) AS `a.b`, CAST(NULL AS INT) AS c")
+    assert [tuple(r) for r in null_to_empty(df).collect()] == [("", None)]

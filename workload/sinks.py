@@ -213,16 +213,16 @@ def sink_catalog_rerun_period(spark, sf_dir):
     "aligned_to_table_inventory",
     """
     SELECT CAST(c_custkey AS VARCHAR) AS client, c_name AS label, CAST(c_nationkey AS BIGINT) AS place,
-           CAST(NULL AS DATE) AS opened
+           CAST(c_acctbal AS DOUBLE) AS balance, CAST(NULL AS DATE) AS opened
     FROM customer
     """,
 )
 def aligned_to_table_inventory(spark, sf_dir):
     """The destination's columns are looked up, and the rows fitted to them by position."""
-    schema, name = _new_table(spark, "client STRING, label STRING, place BIGINT, opened DATE", "opened")
+    schema, name = _new_table(spark, "client STRING, label STRING, place BIGINT, balance DOUBLE, opened DATE", "opened")
     destination = [(column, data_type) for column, data_type, _ in table_columns(spark, schema, name)]
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return aligned_rows(rows, destination, by_position=True)
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    return aligned_rows(rows, destination, by_position=True, dialect="spark")
 
 
 @query("sink_catalog_repair", "SELECT c_custkey, c_mktsegment FROM customer")
