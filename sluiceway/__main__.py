@@ -37,7 +37,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     process = json.loads(Path(given.process).read_text(encoding="utf-8"))
     shared = json.loads(Path(given.shared).read_text(encoding="utf-8")) if given.shared else {}
     spark = job_session(Job(process, shared))
-    run_job(
+    result = run_job(
         spark,
         process,
         shared,
@@ -47,6 +47,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         count_source=given.count_source,
         run_id=given.run_id,
     )
+    result.release()
 
 
 if __name__ == "__main__":

@@ -21,11 +21,18 @@ from sluiceway.functions.names import is_yes
 from sluiceway.operators.protection import Method, ProtectionError
 from sluiceway.plans.job import Job
 from sluiceway.plans.run_log import Entry, append_log, entries_frame
-from sluiceway.plans.sources import read_base
-from sluiceway.plans.transforms import Transform, consumers, load_transforms, run_transforms
+from sluiceway.plans.sources import read_base, shares_base
+from sluiceway.plans.transforms import (
+    SHARING,
+    Transform,
+    base_consumers,
+    consumers,
+    load_transforms,
+    run_transforms,
+)
 from sluiceway.sinks import jdbc
 from sluiceway.sinks.files import Tap, load_files, no_tap, output_path, write_files
-from sluiceway.sinks.staging import staging_folder
+from sluiceway.sinks.staging import remove_staged, staging_folder
 from sluiceway.sinks.tables import load_table, table_location
 
 # Load types, in lower case, by the sink they stand for.
@@ -45,6 +52,12 @@ class JobResult:
     base: DataFrame = field(repr=False)
     frames: dict[str, DataFrame] = field(repr=False)
     entries: list[Entry] = field(default_factory=list)
+    staged: list[str] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Remove the tables the run shared through the folder; frames built on them can't be read after that."""
+        while self.staged:
+            remove_staged(self.base.sparkSession, self.staged.pop())
 
     def log(self) -> DataFrame:
         return entries_frame(self.base.sparkSession, self.entries)
@@ -185,9 +198,10 @@ def _counting(seen: Observation) -> Tap:
     return lambda rows: rows.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
-def _staged(df: DataFrame, label: str) -> tuple[DataFrame, int | None]:
-    """The frame as a table in the shared folder, cut off from what computed it, and its rows."""
+def _staged(df: DataFrame, label: str, paths: list[str]) -> tuple[DataFrame, int | None]:
+    """The frame as a table in the shared folder, cut off from what computed it, and its rows; notes the path."""
     path, seen = staging_folder(df.sparkSession, label), Observation()
+    paths.append(path)
     write_files(df, path, mode="errorifexists", tap=_counting(seen))
     return df.sparkSession.read.schema(df.schema).parquet(path), _rows_seen(seen)
 
@@ -253,38 +267,49 @@ def run_job(
 
     ``base`` replaces the extract stage with a frame at hand.  Only transforms a
     load asks for are planned, and one with several consumers is shared by them
-    as its ``share`` says.  ``count_source`` counts the source, which is a scan of
+    as its ``share`` says, and so is the base.  Tables shared through the folder
+    stay until the result is released, or the run fails.  ``count_source`` counts the source, which is a scan of
     its own for anything but parquet.  The log is appended to ``log_path`` even
     when the run fails.
     """
     job = Job(process, shared or {}, batch_id, period)
     run = _Run(job, methods, run_id or uuid.uuid4().hex)
     kept: list[DataFrame] = []
+    paths: list[str] = []
     try:
         # Whatever the documents alone can tell to be wrong is told before any work.
         loads = job.modules("load")
         sql_folder = str(job.settings("paths").get("path_transform_sql") or "")
         transforms = load_transforms(spark, job.modules("transform"), sql_folder)
         asked = _check_loads(loads, transforms, job)
+        only = set(asked) if loads else None
+        uses = consumers(transforms, asked, only)
+
+        def shared(df: DataFrame, share: str, label: str) -> tuple[DataFrame, int | None]:
+            if share == "table":
+                return _staged(df, label, paths)
+            # Filled before its consumers start: side by side, each would compute it.
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return df, df.count()
 
-        source = "frame"
+        source, base_rows = "frame", None
         if base is None:
+            share = shares_base(job)
+            if share not in SHARING:
+                raise ValueError(f"the base is shared as {share!r}, know {SHARING}")
             base, source = read_base(spark, job, methods)
-        run.note("extract", source, base.count() if count_source else None)
+            if loads and share != "none" and base_consumers(transforms, list(map(_asked_by, loads)), only) > 1:
+                base, base_rows = shared(base, share, "base")
+        if count_source and base_rows is None:
+            base_rows = base.count()
+        run.note("extract", source, base_rows)
 
-        only = set(asked) if loads else None
-        uses = consumers(transforms, asked, only)
         counted: dict[str, int | None] = {}
 
         def settle(transform: Transform, df: DataFrame) -> DataFrame:
             if not loads or uses[transform.id] < 2 or transform.share == "none":
                 return df
-            if transform.share == "table":
-                df, counted[transform.id] = _staged(df, transform.view)
-                return df
-            # Filled before its consumers start: side by side, each would compute it.
-            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-            counted[transform.id] = df.count()
+            df, counted[transform.id] = shared(df, transform.share, transform.view)
             return df
 
         frames = run_transforms(base, transforms, only, settle)
@@ -294,9 +319,11 @@ def run_job(
         for ident in frames:
             rows = counted[ident] if ident in counted else _rows_of(run, frames[ident])
             run.note("transform", f"tx_{ident}", rows)
-        return JobResult(run.id, base, frames, run.entries)
+        return JobResult(run.id, base, frames, run.entries, paths)
     except Exception as error:
         run.note("run", "job", None, error)
+        for path in paths:
+            remove_staged(spark, path)
         raise
     finally:
         for df in kept:

@@ -97,13 +97,30 @@ def read_file_module(
     return protect_columns(df, props.get("data_protection"), methods)
 
 
+def shares_base(job: Job) -> str:
+    """What becomes of a base that several consumers read: as the settings named `extract` say.
+
+    Without a word, what is costly to read or may change between two reads, a JDBC
+    source or a file with a quality check, is written to the shared folder once.
+    Other files are scanned by each consumer, which reads just what it needs.
+    """
+    asked = str(job.settings("extract").get("share") or "").lower()
+    if asked:
+        return asked
+    modules = job.modules("extract")
+    checked = any(_enabled((m.get("properties") or {}).get("quality_integration")) for m in modules)
+    remote = any(str(m.get("extract_type") or "").lower() == "jdbc" for m in modules)
+    return "table" if remote or checked else "none"
+
+
 def read_base(
     spark: SparkSession, job: Job, methods: Mapping[str, Method] | None = None
 ) -> tuple[DataFrame, str]:
     """The base frame and a name for the log.
 
     A JDBC module wins, then a file module; a job without either reads its batch
-    folder under the configured root.
+    folder under the configured root.  A module of type ``batch`` may say into how
+    many ``partitions`` the rows of gzip files are spread.
     """
     modules = job.modules("extract")
     for module in modules:
@@ -113,7 +130,10 @@ def read_base(
         if str(module.get("type") or "").lower() == "file":
             props = module.get("properties") or {}
             return read_file_module(spark, job, props, methods), f"file:{props.get('name')}"
-    if modules:
+    batch = next((m for m in modules if str(m.get("type") or "").lower() == "batch"), {})
+    if modules and not batch:
         raise ValueError("no extract module of a known kind")
+    spread = (batch.get("properties") or {}).get("partitions")
     root = batch_root(job.settings("paths"))
-    return read_batch(spark, root, job.batch_id, job.period), f"batch:{job.batch_id}_{job.period}"
+    rows = read_batch(spark, root, job.batch_id, job.period, int(spread) if spread else None)
+    return rows, f"batch:{job.batch_id}_{job.period}"

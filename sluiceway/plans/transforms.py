@@ -168,6 +168,14 @@ def consumers(
     return Counter(asked) + Counter(read for t in planned for read in t.reads(ids))
 
 
+def base_consumers(
+    transforms: Sequence[Transform], asked: Sequence[str], only: Collection[str] | None = None
+) -> int:
+    """How many loads (those that ask for '') and planned transforms read the base."""
+    planned = needed_in_order(transforms, only)
+    return list(asked).count("") + sum(t.relations is None or BASE_VIEW in t.relations for t in planned)
+
+
 def run_transforms(
     base: DataFrame,
     transforms: Sequence[Transform],

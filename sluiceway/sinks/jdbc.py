@@ -37,6 +37,8 @@ ALIGNED = {
     "url": "jdbc:redshift://{{server}}:{{port}}/{{database}}",
 }
 BATCH_ROWS = 5000
+# Connections a load opens at most unless it says otherwise: one per task would be thousands.
+CONNECTIONS = 64
 
 
 def required_table(props: Mapping[str, object]) -> str:
@@ -52,10 +54,10 @@ def _mode(props: Mapping[str, object]) -> str:
 
 def _limits(props: Mapping[str, object]) -> dict[str, str]:
     """How many connections to open and how many rows to send at once."""
-    options = {"batchsize": str(props.get("batch_rows") or BATCH_ROWS)}
-    if props.get("connections"):
-        options["numPartitions"] = str(props["connections"])
-    return options
+    return {
+        "batchsize": str(props.get("batch_rows") or BATCH_ROWS),
+        "numPartitions": str(props.get("connections") or CONNECTIONS),
+    }
 
 
 def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str, tap: Tap = no_tap) -> None:

@@ -22,6 +22,14 @@ def staging_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="sluiceway-")
 
 
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `staging_folder` named; anything else stays."""
+    if "/sluiceway/" not in path:
+        raise ValueError(f"{path} is no staging folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def staging_folder(spark: SparkSession, label: str) -> str:
     """A new folder for one use under the shared root."""
     return f"{staging_root(spark)}/sluiceway/{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,5 @@
 import json
+import os
 import threading
 import warnings
 
@@ -16,6 +17,8 @@ from sluiceway.plans.run_log import sample_rows
 from sluiceway.plans.sources import read_base
 from sluiceway.plans.transforms import Transform, load_transforms, needed_in_order, run_transforms
 from sluiceway.sinks import jdbc
+from sluiceway.sinks.staging import remove_staged
+from workload.registry import write_batch
 
 KEY = CipherKey(bytes(32), bytes(16))
 
@@ -210,6 +213,50 @@ def test_sharing_of_a_result_with_several_consumers(spark, folder, share):
         Transform("1", "x", "sometimes")
 
 
+def keyed_source(spark, folder):
+    """A file module with a quality check, and a session whose staging folder is known."""
+    spark.createDataFrame([(str(i), f"n{i}") for i in range(20)], "k string, name string").write.csv(
+        f"{folder}/in.txt", sep="|", header=True
+    )
+    props = {"path": folder, "name": "in", "columns": "k,name", "quality_integration": {"columns_key": "k"}}
+    return {"type": "file", "properties": props}
+
+
+@pytest.mark.parametrize("share", [None, "none"])
+def test_base_of_several_loads_is_read_once(spark, folder, share):
+    loads = [file_load(folder, n) for n in "abc"]
+    settings = {"config_app": [{"name": "extract", "properties": {"share": share}}]} if share else {}
+    result = run_job(spark, job(loads=loads, extract=[keyed_source(spark, folder)]) | settings)
+    assert any("/in.txt/" in f for f in result.base.inputFiles()) == (share == "none")
+    assert [e.rows for e in result.entries if e.stage == "load"] == [20] * 3
+    assert [e.rows for e in result.entries if e.stage == "extract"] == [None if share else 20]
+    staged = list(result.staged)
+    assert len(staged) == (0 if share else 1) and all(os.path.isdir(p) for p in staged)
+    result.release()
+    assert not any(os.path.exists(p) for p in staged) and not result.staged
+
+
+def test_staged_tables_go_when_a_run_fails(spark, folder):
+    loads = [file_load(folder, "a"), file_load(folder, "b", data_protect_columns={"type": "sha256", "columns": "none"})]
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(runner, "staging_folder", lambda spark, label: made.append(f"{folder}/sluiceway/{label}") or made[-1])
+        with pytest.raises(ProtectionError):
+            run_job(spark, job(loads=loads, extract=[keyed_source(spark, folder)]))
+    assert made == [f"{folder}/sluiceway/base"] and not os.path.exists(made[0])
+    with pytest.raises(ValueError, match="no staging folder"):
+        remove_staged(spark, folder)
+
+
+def test_gzip_batch_is_spread_as_the_job_says(spark, folder):
+    about = {"format": "text", "compression": "gzip", "columns": ["k"]}
+    root = write_batch(spark.range(100).selectExpr("cast(id as string) k").coalesce(1), "7", "202510", about, compression="gzip")
+    shared = {"config_app": [{"name": "paths", "properties": {"path_data_s3": root}}]}
+    module = {"type": "batch", "properties": {"partitions": "5"}}
+    df, _ = read_base(spark, Job(job(extract=[module]), shared, "7", "202510"))
+    assert df.rdd.getNumPartitions() == 5 and df.count() == 100
+
+
 def test_views_leave_persisted_frames_alone(spark):
     base = rows(spark).persist()
     kept = []

@@ -60,6 +60,29 @@ _passes(
     "SELECT a.user_id, a.event_type, a.day, a.h, a.n, b.n AS next_n FROM spans a LEFT JOIN spans b "
     "ON a.user_id = b.user_id AND a.event_type = b.event_type AND b.day = a.day AND b.h = a.h + 1",
 )
+# A range join meets by user and hour: a later event lies in the hour of the earlier one or the next.
+_passes(
+    "pass_range_join",
+    "events",
+    "WITH later AS (SELECT user_id, ts, explode(array(date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR)) "
+    "AS from_hour FROM {{SOURCE_INPUT}}) "
+    "SELECT a.event_id, count(b.ts) AS within_an_hour FROM {{SOURCE_INPUT}} a LEFT JOIN later b "
+    "ON a.user_id = b.user_id AND date_trunc('hour', a.ts) = b.from_hour AND b.ts > a.ts "
+    "AND b.ts <= a.ts + INTERVAL 1 HOUR GROUP BY a.event_id",
+    oracle="SELECT a.event_id, count(b.ts) AS within_an_hour FROM events a LEFT JOIN events b "
+    "ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 1 HOUR GROUP BY a.event_id",
+)
+# The latest click at or before each purchase, in one pass over both, sorted by time.
+_passes(
+    "pass_asof_join",
+    "events",
+    "SELECT event_id, clicked FROM (SELECT event_id, event_type, "
+    "max(CASE WHEN event_type = 'click' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts) AS clicked "
+    "FROM {{SOURCE_INPUT}} WHERE event_type IN ('click', 'purchase')) e WHERE event_type = 'purchase'",
+    oracle="SELECT p.event_id, c.ts AS clicked FROM (SELECT * FROM events WHERE event_type = 'purchase') p "
+    "ASOF LEFT JOIN (SELECT user_id, ts FROM events WHERE event_type = 'click') c "
+    "ON p.user_id = c.user_id AND p.ts >= c.ts",
+)
 _passes(
     "pass_agg",
     "lineitem",

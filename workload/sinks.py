@@ -23,9 +23,9 @@ def sink_parquet(spark, sf_dir):
     return read_parquet(spark, path)
 
 
-@query("sink_csv", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+@query("sink_csv", "SELECT * FROM customer")
 def sink_csv(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    rows = table(spark, sf_dir, "customer")
     path = staging_folder(spark, "sink")
     write_files(rows, path, "csv", delimiter=";", compression="gzip")
     return read_delimited(spark, path, schema=rows.schema, delimiter=";", header=True)
@@ -49,10 +49,10 @@ def sink_text_rows(spark, sf_dir):
     return lines.select(F.from_json("value", rows.schema).alias("row")).select("row.*")
 
 
-@query("sink_delimited_text", "SELECT o_orderkey, sha256(o_orderstatus) AS o_orderstatus, o_orderpriority FROM orders")
+@query("sink_delimited_text", "SELECT * REPLACE (sha256(o_orderstatus) AS o_orderstatus) FROM orders")
 def sink_delimited_text(spark, sf_dir):
     """``text`` with a delimiter, header, extension and compression, as jobs declare it."""
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    rows = table(spark, sf_dir, "orders")
     props = {
         "bucket": staging_folder(spark, "sink"),
         "name": "orders_abc",
@@ -74,18 +74,18 @@ def sink_partitioned(spark, sf_dir):
     return read_parquet(spark, load_files(rows, props), rows.schema)
 
 
-@query("sink_partition_pruning", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+@query("sink_partition_pruning", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def sink_partition_pruning(spark, sf_dir):
     """Only the folder of one partition value is read."""
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    rows = table(spark, sf_dir, "orders")
     path = load_files(rows, {"bucket": staging_folder(spark, "sink"), "partition_by": "o_orderstatus"})
-    return read_parquet(spark, path).where("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
+    return read_parquet(spark, path).where("o_orderstatus = 'F'")
 
 
-@query("sink_auto_partition", "SELECT s_suppkey, '0007' AS batch_id, '0202510' AS fecinformacion FROM supplier")
+@query("sink_auto_partition", "SELECT *, '0007' AS batch_id, '0202510' AS fecinformacion FROM supplier")
 def sink_auto_partition(spark, sf_dir):
     """Batch and period become folders; declared on reading, they keep their zeros."""
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey")
+    rows = table(spark, sf_dir, "supplier")
     props = {"bucket": staging_folder(spark, "sink"), "auto_partition": "Y"}
     path = load_files(rows, props, batch_id="0007", period="0202510")
     schema = T.StructType(rows.schema.fields).add("batch_id", "string").add("fecinformacion", "string")
@@ -95,24 +95,24 @@ def sink_auto_partition(spark, sf_dir):
 @query(
     "sink_period_name",
     """
-    SELECT p_partkey, CASE half WHEN 0 THEN 'stock_202510' ELSE 'stock_of_202510_all' END AS folder
+    SELECT part.*, CASE half WHEN 0 THEN 'stock_202510' ELSE 'stock_of_202510_all' END AS folder
     FROM part CROSS JOIN (VALUES (0), (1)) h(half)
     """,
 )
 def sink_period_name(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey")
+    rows = table(spark, sf_dir, "part")
     bucket = staging_folder(spark, "sink")
     paths = [
         load_files(rows, {"bucket": bucket, "name": name}, period="202510")
         for name in ("stock_ABC", "stock_of_{fecinfo}_all")
     ]
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return spark.read.parquet(*paths).select("p_partkey", folder.alias("folder"))
+    return spark.read.parquet(*paths).select("*", folder.alias("folder"))
 
 
-@query("sink_append", "SELECT n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey, n_name FROM nation")
+@query("sink_append", "SELECT * FROM nation UNION ALL SELECT * FROM nation")
 def sink_append(spark, sf_dir):
-    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = table(spark, sf_dir, "nation")
     path = staging_folder(spark, "sink")
     for mode in ("overwrite", "append", "ignore"):
         write_files(rows, path, mode=mode)
@@ -194,14 +194,18 @@ def sink_catalog_partition_columns(spark, sf_dir):
 @query(
     "sink_catalog_rerun_period",
     """
-    SELECT s_suppkey, CASE period WHEN '202510' THEN 'again' ELSE 'first' END AS run, period AS fecinformacion
+    SELECT supplier.*, CASE period WHEN '202510' THEN 'again' ELSE 'first' END AS run, period AS fecinformacion
     FROM supplier CROSS JOIN (VALUES ('202509'), ('202510')) p(period)
     """,
 )
 def sink_catalog_rerun_period(spark, sf_dir):
     """Running a period again replaces that period and no other."""
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.lit("first").alias("run"))
-    schema, name = _new_table(spark, "s_suppkey BIGINT, run STRING, fecinformacion STRING", "fecinformacion")
+    rows = table(spark, sf_dir, "supplier").withColumn("run", F.lit("first"))
+    schema, name = _new_table(
+        spark,
+        "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE, run STRING, fecinformacion STRING",
+        "fecinformacion",
+    )
     props = {"schema": schema, "table": name, "mode": "overwrite", "only_written_partitions": "y"}
     load_table(rows, props, "202509")
     load_table(rows, props, "202510")
@@ -225,11 +229,15 @@ def aligned_to_table_inventory(spark, sf_dir):
     return aligned_rows(rows, destination, by_position=True, dialect="spark")
 
 
-@query("sink_catalog_repair", "SELECT c_custkey, c_mktsegment FROM customer")
+@query("sink_catalog_repair", "SELECT * FROM customer")
 def sink_catalog_repair(spark, sf_dir):
     """Partitions written by somebody else are found when the table is repaired."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    schema, name = _new_table(spark, "c_custkey BIGINT, c_mktsegment STRING", "c_mktsegment")
+    rows = table(spark, sf_dir, "customer")
+    schema, name = _new_table(
+        spark,
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+        "c_mktsegment",
+    )
     write_files(rows, table_location(spark, schema, name), mode="append", partition_by=["c_mktsegment"])
     register_partitions(spark, schema, name)
     return spark.table(f"{schema}.{name}")
@@ -238,7 +246,8 @@ def sink_catalog_repair(spark, sf_dir):
 @query(
     "ingest_raw_sealed_opened",
     """
-    SELECT copy, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, copy = 'sealed' AS hidden
+    SELECT copy, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+           CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, copy = 'sealed' AS hidden
     FROM customer CROSS JOIN (VALUES ('raw'), ('sealed'), ('opened')) c(copy)
     """,
 )
@@ -246,7 +255,7 @@ def ingest_raw_sealed_opened(spark, sf_dir):
     """The same rows as raw, encrypted and decrypted files."""
     root = staging_folder(spark, "ingest")
     source = f"{root}/landing"
-    table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.options(sep="|", header=True).csv(source)
+    table(spark, sf_dir, "customer").write.options(sep="|", header=True).csv(source)
     raw = read_delimited(spark, source, header=True)
     write_files(raw, f"{root}/raw")
     write_files(encrypt_columns(raw, ["c_name"], EXAMPLE_KEY), f"{root}/sealed")

@@ -68,7 +68,7 @@ def batch_text_declared_schema(spark, sf_dir):
 @query(
     "batch_text_bad_cells",
     """
-    SELECT c_custkey, CAST(NULL AS INTEGER) AS c_name, c_nationkey
+    SELECT c_custkey, CAST(NULL AS INTEGER) AS c_name, c_nationkey, c_acctbal, c_mktsegment
     FROM customer
     """,
 )
@@ -78,8 +78,10 @@ def batch_text_bad_cells(spark, sf_dir):
         {"name": "c_custkey", "data_type": "BIGINT", "order": 1},
         {"name": "c_name", "data_type": "INT", "order": 2},
         {"name": "c_nationkey", "data_type": "INT", "order": 3},
+        {"name": "c_acctbal", "data_type": "DOUBLE", "order": 4},
+        {"name": "c_mktsegment", "data_type": "VARCHAR(10)", "order": 5},
     ]
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    rows = table(spark, sf_dir, "customer")
     root = write_batch(rows, "4003", "202510", {"format": "text", "columns": columns})
     return read_batch(spark, root, "4003", "202510")
 
@@ -87,12 +89,13 @@ def batch_text_bad_cells(spark, sf_dir):
 @query(
     "batch_text_undeclared",
     """
-    SELECT CAST(s_suppkey AS VARCHAR) AS "_c0", s_name AS "_c1", CAST(s_nationkey AS VARCHAR) AS "_c2"
+    SELECT CAST(s_suppkey AS VARCHAR) AS "_c0", s_name AS "_c1", CAST(s_nationkey AS VARCHAR) AS "_c2",
+           CAST(s_acctbal AS VARCHAR) AS "_c3"
     FROM supplier
     """,
 )
 def batch_text_undeclared(spark, sf_dir):
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    rows = table(spark, sf_dir, "supplier")
     root = write_batch(rows, "4004", "202510", {"format": "text"})
     return read_batch(spark, root, "4004", "202510")
 
@@ -105,11 +108,11 @@ def batch_parquet(spark, sf_dir):
 
 @query(
     "csv_header_infer",
-    "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
+    "SELECT * FROM part",
 )
 def csv_header_infer(spark, sf_dir):
     folder = staging_folder(spark, "landing")
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    rows = table(spark, sf_dir, "part")
     rows.write.options(sep="|", header=True).csv(f"{folder}/data.csv")
     found = read_first_available(spark, folder)
     return found.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
@@ -126,11 +129,12 @@ def first_available_parquet(spark, sf_dir):
 
 @query(
     "csv_headerless",
-    "SELECT c_custkey AS col_1, c_name AS col_2, c_nationkey AS col_3, c_mktsegment AS col_4 FROM customer",
+    "SELECT c_custkey AS col_1, c_name AS col_2, c_nationkey AS col_3, c_acctbal AS col_4, c_mktsegment AS col_5 "
+    "FROM customer",
 )
 def csv_headerless(spark, sf_dir):
     folder = staging_folder(spark, "landing")
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    rows = table(spark, sf_dir, "customer")
     rows.write.options(sep="|").csv(folder)
     return read_headerless(spark, folder).withColumn("col_1", F.col("col_1").cast("bigint"))
 
@@ -139,7 +143,7 @@ def csv_headerless(spark, sf_dir):
     "csv_header_all_strings",
     """
     SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS o_custkey,
-           o_orderstatus
+           o_orderstatus, o_orderpriority
     FROM orders
     """,
 )
@@ -147,14 +151,14 @@ def csv_header_all_strings(spark, sf_dir):
     """Leading zeros survive when nothing is inferred."""
     folder = staging_folder(spark, "landing")
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("o_custkey"), "o_orderstatus"
+        "o_orderkey", F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("o_custkey"), "o_orderstatus", "o_orderpriority"
     )
     rows.write.options(sep="|", header=True).csv(folder)
     return read_delimited(spark, folder, header=True)
 
 
-PART_FIELDS = ((1, 12), (13, 40), (53, 10), (63, 25), (88, 6))
-PART_NAMES = ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+PART_FIELDS = ((1, 12), (13, 40), (53, 10), (63, 25), (88, 6), (94, 12))
+PART_NAMES = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
 
 @query(
@@ -162,7 +166,8 @@ PART_NAMES = ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     """
     SELECT rpad(CAST(p_partkey AS VARCHAR), 12, ' ') AS p_partkey, rpad(p_name, 40, ' ') AS p_name,
            rpad(p_brand, 10, ' ') AS p_brand, rpad(p_type, 25, ' ') AS p_type,
-           rpad(CAST(p_size AS VARCHAR), 6, ' ') AS p_size
+           rpad(CAST(p_size AS VARCHAR), 6, ' ') AS p_size,
+           rpad(CAST(p_retailprice AS VARCHAR), 12, ' ') AS p_retailprice
     FROM part
     """,
 )
