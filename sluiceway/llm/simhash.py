@@ -194,15 +194,14 @@ def simhash_groups(
     return prints.join(by_print, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
-def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4) -> DataFrame:
-    """One document of every component, the one with the smallest key, with all columns of `docs`.
+def one_of_each(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
+    """One document of every component of `groups`, the one with the smallest key, with all columns of `docs`.
 
     Rows that share a key are one document: it goes only when all of them lie in components with a smaller key, and
     rows of it that repeat the same text stay once. Documents without a key stay.
     """
     per_key = staged(
-        simhash_groups(docs, key, text, width, radius)
-        .where(F.col(key).isNotNull())
+        groups.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max("component_id").alias("_last"), F.count(F.lit(1)).alias("_rows")),
         "keys",
@@ -215,6 +214,11 @@ def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", widt
     return kept.join(again, on, "left_anti").union(kept.join(again, on, "left_semi").dropDuplicates([key, text]))
 
 
+def simhash_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4) -> DataFrame:
+    """One document of every component of fingerprints within the radius; see `one_of_each`."""
+    return one_of_each(docs, simhash_groups(docs, key, text, width, radius), key, text)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
