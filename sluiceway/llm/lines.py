@@ -61,11 +61,21 @@ def running_sums(values: Column) -> Column:
     )
 
 
+def _print(text: Column) -> Column:
+    """With the key, what a row is told by: keys may be NULL or stand at several texts."""
+    return F.xxhash64(text)
+
+
+def _place() -> Column:
+    return F.struct(F.col("key").isNull().alias("last"), "key", "print", "nr")
+
+
 def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every line with words: its place (no key last, key, nr), two hashes, number of words, and hashes of its halves."""
+    """Every line with words: its place (no key last, key, print, nr), two hashes, and hashes of its halves."""
+    body = F.col(text).cast("string")
     rows = docs.select(
-        F.col(key).cast("long").alias("key"), F.posexplode(lines_of(F.col(text).cast("string"))).alias("nr", "line")
-    ).select("key", "nr", words_of(F.col("line")).alias("words"))
+        F.col(key).cast("long").alias("key"), _print(body).alias("print"), F.posexplode(lines_of(body)).alias("nr", "line")
+    ).select("key", "print", "nr", words_of(F.col("line")).alias("words"))
     n = F.size("words")
     # A partner has as many words, one more or one less; the halves are those of the shorter of both.
     half = F.floor(n / 2).cast("int")
@@ -79,7 +89,7 @@ def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     keys = F.when(n >= LEAST_WORDS, F.when(half == less, F.array(*halves(half))).otherwise(F.array(*halves(half), *halves(less))))
     return rows.where(n > 0).select(
-        F.struct(F.col("key").isNull().alias("last"), "key", "nr").alias("place"),
+        _place().alias("place"),
         F.xxhash64("words").alias("h1"),
         F.xxhash64(F.lit(1), "words").alias("h2"),
         keys.alias("halves"),
@@ -152,14 +162,16 @@ def _near_earlier(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> Da
     # Their words are read where each line stands first.
     wanted = (
         firsts.join(open_lines, F.col("h1") == F.col("open"), "left_semi")
-        .groupBy(F.col("place.key").alias("in"))
+        .groupBy(F.col("place.key").alias("in"), F.col("place.print").alias("of"))
         .agg(F.collect_set(F.struct("place.nr", "h1")).alias("wanted"))
     )
-    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    body = F.col(text).cast("string")
+    texts = docs.select(F.col(key).cast("long").alias("key"), _print(body).alias("print"), body.alias("text"))
     lines = (
-        texts.join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("in")))
+        texts.join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("in")) & (F.col("print") == F.col("of")))
         .select(
             "key",
+            "print",
             F.explode(
                 let(
                     lines_of(F.col("text")),
@@ -169,13 +181,13 @@ def _near_earlier(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> Da
                 )
             ).alias("one"),
         )
-        .select("key", "one.nr", F.col("one.h1").alias("wanted"), words_of(F.col("one.line")).alias("words"))
-        .select("key", "nr", "wanted", "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
+        .select("key", "print", "one.nr", F.col("one.h1").alias("wanted"), words_of(F.col("one.line")).alias("words"))
+        .select("key", "print", "nr", "wanted", "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
         .where("h1 = wanted")
         .drop("wanted")
     )
     lines = staged(lines, "lines")
-    lines = lines.withColumn("place", F.struct(F.col("key").isNull().alias("last"), "key", "nr"))
+    lines = lines.withColumn("place", _place())
     emitted = lines.select(
         "h1", F.explode(let(_sums(F.col("words")), lambda s: _variants(s, F.size("words")))).alias("variant")
     ).select("h1", "variant.*")
@@ -204,7 +216,7 @@ def _near_earlier(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> Da
 
 
 def dropped_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, numbers): the lines of each document that repeat an earlier one, exactly or within one edit."""
+    """(key, print, numbers): the lines of each document that repeat an earlier one, exactly or within one edit."""
     rows = staged(_occurrences(docs, key, text), "occurrences")
     firsts = staged(
         rows.groupBy("h1", "h2").agg(
@@ -224,7 +236,7 @@ def dropped_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
         rows.select("place", "h1", "h2")
         .join(known, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
         .where(F.col("near") | (F.col("place") > F.col("first")))
-        .groupBy(F.col("place.key").alias("in"))
+        .groupBy(F.col("place.key").alias("in"), F.col("place.print").alias("of"))
         .agg(F.collect_set("place.nr").alias("numbers"))
     )
 
@@ -232,13 +244,15 @@ def dropped_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with every line left out that repeats an earlier one, exactly or within one edit of its words.
 
-    Earlier is by key and number of the line; a NULL key is last. Lines end with a line feed and are compared by their
+    Earlier is by key, hash of the text and number of the line; a NULL key is last. Lines end with a line feed and are compared by their
     words as written. A line is left out if any earlier line of at least `LEAST_WORDS` words is one word put in, left
     out or replaced away from it, or any earlier line has the same words. Lines without words stay, and so do all rows:
-    a text may end up empty, a NULL text stays NULL. Rows that share a key count as one document whose lines of one
-    number stand side by side: repeated rows keep the same lines. An empty table gives an empty result.
+    a text may end up empty, a NULL text stays NULL. Rows are told apart by key
+    and text: different texts of one key, or of none, are documents of their own; rows that repeat both count as one
+    document and keep the same lines. An empty table gives an empty result.
     """
-    gone = staged(dropped_lines(docs, key, text), "gone").withColumnsRenamed({"in": "_in", "numbers": "_numbers"})
+    gone = staged(dropped_lines(docs, key, text), "gone")
+    gone = gone.withColumnsRenamed({"in": "_in", "of": "_of", "numbers": "_numbers"})
 
     def kept(lines: Column) -> Column:
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_numbers"))
@@ -246,7 +260,8 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     cut = let(lines_of(F.col(text).cast("string")), kept)
     # What is known per document grows with the documents, so it is never sent to every executor.
-    joined = docs.join(gone.hint("merge"), F.col(key).cast("long").eqNullSafe(F.col("_in")), "left")
+    same = F.col(key).cast("long").eqNullSafe(F.col("_in")) & (_print(F.col(text).cast("string")) == F.col("_of"))
+    joined = docs.join(gone.hint("merge"), same, "left")
     return joined.withColumn(
         text, F.when(F.col("_numbers").isNull() | F.col(text).isNull(), F.col(text)).otherwise(cut)
     ).select(*[F.col(f"`{c}`") for c in docs.columns])

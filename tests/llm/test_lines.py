@@ -69,6 +69,21 @@ def test_edges(spark):
     assert lines.line_dedup(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_of_one_key_are_told_apart_by_their_text(spark, key):
+    """Lines of one number, of rows with a NULL key or one key, only go where they repeat something themselves."""
+    base = [f"b{i}" for i in range(9)]
+    near = " ".join([*base[:4], "new", *base[5:]])
+    rows = [(1, "seen before\n" + " ".join(base)), (key, f"seen before\n{near}\nx"), (key, "own first line\nown second line of more words\ny")]
+    rows += [(key, f"text {i} of many\nits line {i} with words\nand {i}") for i in range(20)]
+    got = sorted(r.text for r in lines.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # Of the many, lines within one word of another go; the first of them by the hash of its text stays.
+    assert rows[0][1] in got and "x" in got and rows[2][1] in got
+    many = [t.split("\n") for t in got if t not in (rows[0][1], rows[2][1], "x")]
+    assert len(many) == 20 and all(f"and {t[-1][4:]}" == t[-1] and f"text {t[-1][4:]} of many" in t for t in many)
+    assert sum(len(t) == 3 for t in many) == 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 129])
 def test_running_sums(spark, n):
     row = spark.range(1).select(lines.running_sums(F.sequence(F.lit(1).cast("bigint"), F.lit(n).cast("bigint")) if n else F.array().cast("array<bigint>")).alias("s"))
