@@ -14,6 +14,7 @@ from sluiceway.llm.mixing import op1_mix
 from sluiceway.llm.pii import op4_pii
 from sluiceway.llm.quality import op5_quality
 from sluiceway.llm.simhash import op7_simhash
+from sluiceway.llm.toxicity import op11_toxicity
 from sluiceway.llm.urls import op10_urls
 from sluiceway.llm.warc import OP9_SQL, op9_warc
 
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_overlaps": op8_overlaps,
     "op9_warc": op9_warc,
     "op10_urls": op10_urls,
+    "op11_toxicity": op11_toxicity,
 }
 
 ORACLES: dict[str, str] = {"op2_lines": OP2_SQL, "op8_overlaps": OP8_SQL, "op9_warc": OP9_SQL}
