@@ -14,6 +14,7 @@ from sluiceway.llm.mixing import op1_mix
 from sluiceway.llm.pii import op4_pii
 from sluiceway.llm.prefixes import OP13_SQL, op13_prefixes
 from sluiceway.llm.quality import op5_quality
+from sluiceway.llm.search import OP12_SQL, op12_search
 from sluiceway.llm.simhash import op7_simhash
 from sluiceway.llm.toxicity import op11_toxicity
 from sluiceway.llm.urls import op10_urls
@@ -31,7 +32,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_urls": op10_urls,
     "op11_toxicity": op11_toxicity,
+    "op12_search": op12_search,
     "op13_prefixes": op13_prefixes,
 }
 
-ORACLES: dict[str, str] = {"op2_lines": OP2_SQL, "op8_overlaps": OP8_SQL, "op9_warc": OP9_SQL, "op13_prefixes": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op2_lines": OP2_SQL,
+    "op8_overlaps": OP8_SQL,
+    "op9_warc": OP9_SQL,
+    "op12_search": OP12_SQL,
+    "op13_prefixes": OP13_SQL,
+}
