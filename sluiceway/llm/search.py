@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ TOP = 20
 FREQUENT = 1 / 64
 # Documents looked at for a first threshold: those with the rarest terms, as many terms as hold so few documents together.
 FIRST_LOOK = 2000
+# Cells of rows by frequent terms a task lays out at once.
+CELLS = 1 << 21
 # Characters of terms, and of letters that are made lower case.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,10 +42,12 @@ def term_rows(table: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             found = [terms(x.as_py()) for x in batch.column(1)]
-            lists = [[{"term": "", "n": 1}] + [{"term": t, "n": n} for t, n in c.items()] for c in found]
-            kind = pa.list_(pa.struct([("term", pa.string()), ("n", pa.int64())]))
             sizes = pa.array([sum(c.values()) for c in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(lists, kind)], names=["key", "size", "terms"])
+            words = pa.array([t for c in found for t in ("", *c)], pa.string())
+            counts = pa.array([n for c in found for n in (1, *c.values())], pa.int64())
+            starts = pa.array(np.cumsum([0, *(len(c) + 1 for c in found)]), pa.int32())
+            lists = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays([words, counts], ["term", "n"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, lists], names=["key", "size", "terms"])
 
     rows = table.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.mapInArrow(run, "key long, size long, terms array<struct<term: string, n: long>>")
@@ -75,14 +80,37 @@ class Index:
 
         Only for frequent terms, whose number has a bound; so a row's terms that take part are few, however long its text.
         """
-        frequent = self.terms.where("is_frequent").select("term")
-        of_row = self.postings.join(frequent, "term", "left_semi").groupBy("row").agg(
-            F.sort_array(F.collect_list(F.struct("term", "adds"))).alias("terms")
-        )
-        first = of_row.select(F.posexplode("terms").alias("at", "one"), "terms")
-        both = first.select("one", F.explode(F.slice("terms", F.col("at") + 2, F.size("terms"))).alias("two"))
-        both = both.select(F.col("one.term").alias("a"), F.col("two.term").alias("b"), (F.col("one.adds") + F.col("two.adds")).alias("adds"))
-        return both.join(pairs, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count("*").alias("both"), F.max("adds").alias("joint"))
+        frequent = self.terms.where("is_frequent")
+        size = frequent.count()
+        frequent = frequent.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("nr"))
+        of_row = self.postings.join(frequent, "term").groupBy("row").agg(F.collect_list("nr").alias("nrs"), F.collect_list("adds").alias("adds"))
+
+        def joint(batches):
+            for batch in batches:
+                at_once = max(1, CELLS // max(size, 1))
+                for start in range(0, batch.num_rows, at_once):
+                    part = batch.slice(start, at_once)
+                    nrs, adds = part.column(0), part.column(1)
+                    row = np.repeat(np.arange(part.num_rows), np.diff(nrs.offsets.to_numpy()))
+                    table = np.zeros((part.num_rows, size), np.int64)
+                    present = np.zeros((part.num_rows, size), bool)
+                    at = nrs.flatten().to_numpy()
+                    table[row, at] = adds.flatten().to_numpy()
+                    present[row, at] = True
+                    for a in np.unique(at):
+                        some = present[:, a]
+                        with_b, sums = present[some, a + 1 :], table[some, a + 1 :] + table[some, a : a + 1]
+                        both = with_b.sum(axis=0)
+                        best = np.where(with_b, sums, 0).max(axis=0, initial=0)
+                        found = np.flatnonzero(both)
+                        columns = [np.full(len(found), a), found + a + 1, both[found], best[found]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["nr_a", "nr_b", "both", "joint"])
+
+        lists = of_row.select("nrs", "adds").mapInArrow(joint, "nr_a long, nr_b long, both long, joint long")
+        lists = lists.groupBy("nr_a", "nr_b").agg(F.sum("both").alias("both"), F.max("joint").alias("joint"))
+        for side in ("a", "b"):
+            lists = lists.join(frequent.select(F.col("nr").alias(f"nr_{side}"), F.col("term").alias(side)), f"nr_{side}")
+        return lists.join(pairs, ["a", "b"], "left_semi").select("a", "b", "both", "joint")
 
 
 def _ranked(scores: DataFrame) -> DataFrame:
