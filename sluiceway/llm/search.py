@@ -83,6 +83,11 @@ class Index:
         frequent = self.terms.where("is_frequent")
         size = frequent.count()
         frequent = frequent.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("nr"))
+        for side in ("a", "b"):
+            pairs = pairs.join(frequent.select(F.col("nr").alias(f"nr_{side}"), F.col("term").alias(side)), side)
+        # At most half the square of the number of frequent terms.
+        wanted = pairs.select("nr_a", "nr_b").distinct().groupBy("nr_a").agg(F.collect_list("nr_b").alias("nr_b"))
+        partners = {r.nr_a: np.array(sorted(r.nr_b)) for r in wanted.collect()}
         of_row = self.postings.join(frequent, "term").groupBy("row").agg(F.collect_list("nr").alias("nrs"), F.collect_list("adds").alias("adds"))
 
         def joint(batches):
@@ -98,19 +103,21 @@ class Index:
                     table[row, at] = adds.flatten().to_numpy()
                     present[row, at] = True
                     for a in np.unique(at):
-                        some = present[:, a]
-                        with_b, sums = present[some, a + 1 :], table[some, a + 1 :] + table[some, a : a + 1]
+                        if a not in partners:
+                            continue
+                        some, others = np.flatnonzero(present[:, a]), partners[a]
+                        with_b = present[np.ix_(some, others)]
+                        sums = np.where(with_b, table[np.ix_(some, others)] + table[some, a][:, None], 0)
                         both = with_b.sum(axis=0)
-                        best = np.where(with_b, sums, 0).max(axis=0, initial=0)
                         found = np.flatnonzero(both)
-                        columns = [np.full(len(found), a), found + a + 1, both[found], best[found]]
+                        columns = [np.full(len(found), a), others[found], both[found], sums.max(axis=0)[found]]
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["nr_a", "nr_b", "both", "joint"])
 
         lists = of_row.select("nrs", "adds").mapInArrow(joint, "nr_a long, nr_b long, both long, joint long")
         lists = lists.groupBy("nr_a", "nr_b").agg(F.sum("both").alias("both"), F.max("joint").alias("joint"))
         for side in ("a", "b"):
             lists = lists.join(frequent.select(F.col("nr").alias(f"nr_{side}"), F.col("term").alias(side)), f"nr_{side}")
-        return lists.join(pairs, ["a", "b"], "left_semi").select("a", "b", "both", "joint")
+        return lists.select("a", "b", "both", "joint")
 
 
 def _ranked(scores: DataFrame) -> DataFrame:
