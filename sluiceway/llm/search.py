@@ -126,14 +126,20 @@ def _ranked(scores: DataFrame) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP)
 
 
-def _scores(rows: DataFrame, asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """Exact scores (item, row, key, score) of the pairs (item, row)."""
-    return (
-        rows.join(postings, "row")
-        .join(asked.select("item", "term", "times"), ["item", "term"])
-        .groupBy("item", "row", "key")
-        .agg(F.sum(F.col("times") * F.col("adds")).alias("score"))
-    )
+def _scores(asked: DataFrame, used: DataFrame, postings: DataFrame, keep: Column | None = None) -> DataFrame:
+    """Exact scores (item, row, key, score) of documents with terms `used` (item, term, times), of those that `keep` leaves.
+
+    `asked` has all terms of the items, with the terms in `used` marked: what these add is known when documents are
+    found, and only the other terms of the items are looked up for them. `keep` sees it as `part`.
+    """
+    found = postings.join(used, "term").groupBy("item", "row", "key").agg(F.sum(F.col("times") * F.col("adds")).alias("part"))
+    if keep is not None:
+        found = found.join(asked.groupBy("item", "least", "rest").count(), "item").where(keep)
+    found = staged(found.select("item", "row", "key", "part"), "found")
+    other = found.join(asked.where("NOT is_used").select("item", "term", "times"), "item").select("item", "row", "term", "times")
+    more = other.join(postings.select("row", "key", "term", "adds"), ["row", "term"])
+    every = found.union(more.select("item", "row", "key", F.col("times") * F.col("adds")))
+    return every.groupBy("item", "row", "key").agg(F.sum("part").alias("score")).where("score > 0")
 
 
 def bounds(asked: DataFrame, index: Index) -> DataFrame:
@@ -185,21 +191,20 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
 
     # A first threshold: exact scores of documents with an item's rarest terms, enough of them to fill its result.
     rarest = Window.partitionBy("item").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0)
-    look = lined.withColumn("upto", F.sum("df").over(rarest)).where(f"upto - df < {TOP} OR upto <= {FIRST_LOOK}")
-    some = index.postings.join(look.select("item", "term"), "term").select("item", "row").distinct()
-    least = _ranked(_scores(some, asked, index.postings)).where(F.col("rank") == TOP).select("item", F.greatest("score", F.lit(1)).alias("least"))
+    look = lined.withColumn("upto", F.sum("df").over(rarest)).withColumn("is_used", F.expr(f"upto - df < {TOP} OR upto <= {FIRST_LOOK}"))
+    look = staged(look, "look")
+    first = _ranked(_scores(look, look.where("is_used").select("item", "term", "times"), index.postings))
+    least = first.where(F.col("rank") == TOP).select("item", F.col("score").alias("least"))
     lined = staged(lined.join(least, "item", "left").withColumn("least", F.coalesce("least", F.lit(1))), "thresholds")
 
     # Terms up to the last one whose bound is below the threshold can't bring a document into the result.
     low = F.col("bound") < F.col("least")
-    cut = lined.groupBy("item", "least").agg(
+    cut = lined.groupBy("item").agg(
         F.coalesce(F.max(F.when(low, F.col("nr"))), F.lit(0)).alias("last"),
         F.coalesce(F.max_by("bound", F.when(low, F.col("nr"))), F.lit(0)).alias("rest"),
     )
-    needed = lined.join(cut.select("item", "last"), "item").where("nr > last").select("item", "term", "times")
-    found = index.postings.join(needed, "term").groupBy("item", "row").agg(F.sum(F.col("times") * F.col("adds")).alias("part"))
-    may = found.join(cut, "item").where("part + rest >= least").select("item", "row")
-    best = _ranked(_scores(may, asked, index.postings).where("score > 0"))
+    lined = staged(lined.join(cut, "item").withColumn("is_used", F.col("nr") > F.col("last")), "cut")
+    best = _ranked(_scores(lined, lined.where("is_used").select("item", "term", "times"), index.postings, F.expr("part + rest >= least")))
     return best.select(F.col("item").alias(item), "rank", F.col("key").alias(key), "score")
 
 
