@@ -196,8 +196,7 @@ def embedding_groups(
     Vectors are linked when their labels are equal and not NULL, their lengths are equal, they meet in a bucket, and
     their cosine is at least `cosine`. Equal vectors are linked without meeting. A vector that is NULL, empty, zero, or
     has a NULL or non-finite component links with nothing, nor does one with a NULL key or label: 0 links, its own
-    component, kept. Rows that repeat a key and vector count as vectors of their own; rows of one key with different
-    vectors are in one component. Other columns are ignored; an empty table gives an empty result.
+    component, kept. Rows that repeat a key count as vectors of their own, whether their vectors are equal or not. Other columns are ignored; an empty table gives an empty result.
     """
     numbers = F.transform(F.col(vector), lambda x: x.cast("double"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -209,7 +208,9 @@ def embedding_groups(
         "vectors",
     )
     whole = rows.where("vector is not null")
-    classes = staged(whole.groupBy("label", "vector").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("weight")), "classes")
+    # A class is all rows of one label and vector. Keys may repeat, so classes are numbered, and keys come back at the end.
+    same = whole.groupBy("label", "vector").agg(F.min("key").alias("smallest"), F.count(F.lit(1)).alias("weight"))
+    classes = staged(same.withColumn("node", F.monotonically_increasing_id()), "classes")
     hashed = staged(
         classes.select("node", "label", "vector").mapInArrow(
             _hashed(tables, width), "node long, label string, dim int, codes array<array<int>>, unit binary"
@@ -244,7 +245,9 @@ def embedding_groups(
         .withColumn("hi", F.greatest("place", "other"))
         .select("node", "table", "role", "place", "lo", "hi", F.xxhash64("bucket", "lo", "hi").alias("run"))
     )
-    about = hashed.join(classes.select(F.col("node").alias("of"), F.col("label").alias("l"), "weight"), (F.col("node") == F.col("of")) & (F.col("label") == F.col("l"))).select(F.col("node").alias("class"), "weight", "codes", "unit")
+    about = hashed.join(classes.select(F.col("node").alias("of"), "weight"), F.col("node") == F.col("of")).select(
+        F.col("node").alias("class"), "weight", "codes", "unit"
+    )
     found = staged(
         dealt.join(about, F.col("node") == F.col("class"))
         .select("run", "table", "lo", "hi", "role", "place", "node", "weight", "codes", "unit")
@@ -255,16 +258,17 @@ def embedding_groups(
     )
     counts = found.where("n is not null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("more"))
     roots = components(found.where("b is not null").select("a", "b"))
-    named = staged(
+    numbered = staged(
         classes.join(counts, "node", "left")
         .join(roots, "node", "left")
         .select(
-            F.col("label").alias("l"),
-            F.col("vector").alias("v"),
-            (F.col("weight") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"),
-            F.coalesce("root", "node").alias("component_id"),
+            "label", "vector", "smallest", "root", (F.col("weight") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")
         ),
-        "named",
+        "numbered",
+    )
+    tops = numbered.where("root IS NOT NULL").groupBy(F.col("root").alias("top")).agg(F.min("smallest").alias("component_id"))
+    named = numbered.join(tops, F.col("root") == F.col("top"), "left").select(
+        F.col("label").alias("l"), F.col("vector").alias("v"), "n_links", F.coalesce("component_id", "smallest").alias("component_id")
     )
     linked = whole.join(named, (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v"))).select("key", "n_links", "component_id")
     alone = rows.where("vector is null").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
