@@ -32,6 +32,8 @@ NOTICES = (
 )
 # One error is allowed for so many characters of a notice.
 CHARACTERS_PER_ERROR = 10
+# Stretches of one text whose verdict is remembered.
+_REMEMBERED = 4096
 _WORD = rb"0-9a-z\x80-\xff"
 
 
@@ -85,30 +87,32 @@ class Scanner:
         self.in_word[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
     def notices_in(self, text: str) -> Iterator[Found]:
-        """Spans of notices in a lower-case text; of a notice, spans that overlap count once."""
-        windows: dict[int, list[list[int]]] = {}
+        """Spans of notices in a lower-case text, leftmost first; of a notice, spans that overlap count once.
+
+        An exact seed says where its notice would start. Only so much text as the notice and its errors can take is
+        searched around there, so that the work grows with the seeds found; equal stretches are searched once.
+        """
+        starts: dict[int, set[int]] = {}
         for last, (length, places) in self.automaton.iter(text):
             for nr, offset in places:
-                _, notice, errors, _ = self.notices[nr]
-                lo = max(0, last + 1 - length - offset - errors)
-                hi = min(len(text), last + 1 - length - offset + len(notice) + errors)
-                merged = windows.setdefault(nr, [])
-                if merged and lo <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], hi)
-                else:
-                    merged.append([lo, hi])
-        for nr, merged in windows.items():
+                starts.setdefault(nr, set()).add(last + 1 - length - offset)
+        for nr, found in starts.items():
             label, notice, errors, expression = self.notices[nr]
-            for lo, hi in merged:
-                # A long stretch of seeds is searched by overlapping parts, so that the best match of each is found.
-                part, at = 4 * len(notice), lo
-                while at < hi:
-                    end = min(hi, at + part)
-                    if hit := expression.search(text, at, end):
-                        yield Found(label, hit.start(), hit.end(), 1 - min(1.0, sum(hit.fuzzy_counts) / len(notice)))
-                    if end == hi and not hit:
-                        break
-                    at = hit.end() if hit and hit.end() > at else end - len(notice) - errors
+            seen: dict[str, tuple[int, int, int] | None] = {}
+            done = 0
+            for start in sorted(found):
+                lo, hi = max(done, start - errors), start + len(notice) + errors
+                stretch = text[lo : max(lo, hi)]
+                if len(stretch) < len(notice) - errors:
+                    continue
+                if stretch not in seen:
+                    if len(seen) >= _REMEMBERED:
+                        seen.clear()
+                    hit = expression.search(stretch)
+                    seen[stretch] = (hit.start(), hit.end(), sum(hit.fuzzy_counts)) if hit else None
+                if (at := seen[stretch]) is not None:
+                    yield Found(label, lo + at[0], lo + at[1], 1 - min(1.0, at[2] / len(notice)))
+                    done = lo + at[1]
 
     def scan(self, text: bytes | None) -> tuple:
         """(n_words, n_base, first_word, last_word, base_labels, labels, score, spans)."""

@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+import pytest
 import regex
 
 from sluiceway.llm import licences
@@ -52,6 +54,46 @@ def test_every_error_within_the_bound_is_found():
             assert max(f.score for f in found) >= 1 - licences.errors_allowed(notice) / len(notice)
 
 
+@pytest.mark.parametrize(
+    ("text", "hits"),
+    [
+        ("licensed under a creatve commons and licensed under a creative commons", ["licensed under a creatve commons", "licensed under a creative commons"]),
+        ("licensed under a creative commons and licensed under a creatve commons", ["licensed under a creative commons", "licensed under a creatve commons"]),
+        ("all rights reservd x all rights reserved", ["all rights reservd", "all rights reserved"]),
+        ("all rights reserved x all rights reservd", ["all rights reserved", "all rights reservd"]),
+        ("all rights reserved" * 3, ["all rights reserved"] * 3),
+    ],
+)
+def test_every_hit_is_found_whatever_the_order(text, hits):
+    found = sorted(licences.Scanner(licences.NOTICES, licences.PHRASES).notices_in(text), key=lambda f: f.start)
+    assert [text[f.start : f.end].strip(" x") for f in found] == hits
+
+
+def test_planted_hits_are_all_found_and_never_overlap():
+    rng, scanner = random.Random(8), licences.Scanner(licences.NOTICES, licences.PHRASES)
+    for _ in range(40):
+        label, notice = rng.choice(licences.NOTICES)
+        text, planted = "", []
+        for _ in range(rng.randrange(1, 6)):
+            text += rng.choice(["", "some words. ", "licensed under ", "all rights "])
+            letters = list(notice)
+            for _ in range(rng.randint(0, max(1, licences.errors_allowed(notice) // 2))):
+                letters[rng.randrange(len(letters))] = "z"
+            planted.append((len(text), len(text) + len(notice)))
+            text += "".join(letters) + " -- "
+        found = sorted((f.start, f.end) for f in scanner.notices_in(text) if f.label == label)
+        assert all(any(a < end and start < b for a, b in found) for start, end in planted), (text, found)
+        assert all(x[1] <= y[0] for x, y in zip(found, found[1:])) or len({n for lb, n in licences.NOTICES if lb == label}) > 1
+
+
+@pytest.mark.parametrize("seed", ["permission ", "licensed under ", "redistribution and use "])
+def test_texts_full_of_seeds_take_little_time(seed):
+    scanner = licences.Scanner(licences.NOTICES, licences.PHRASES)
+    start = time.perf_counter()
+    assert list(scanner.notices_in(seed * 20_000)) == []
+    assert time.perf_counter() - start < 3
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, "MIT, License! mit\n\nlicense"), (3, "MIT, License! mit\n\nlicense"), (4, "submit license; mit licenses"), (None, "the \u00c9 all rights reservd"),
             (5, "a " * 300000 + "general public license"), (6, "all rights reserved " * 3000)]
