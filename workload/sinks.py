@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from sluiceway.operators.protection import decrypt_columns, encrypt_columns
 from sluiceway.sinks.files import load_files, write_files
 from sluiceway.sinks.jdbc import aligned_rows
+from sluiceway.sinks.runs import append_run, read_runs
 from sluiceway.sinks.staging import staging_folder
 from sluiceway.sinks.tables import load_table, register_partitions, table_columns, table_location
 from sluiceway.sources.files import read_delimited, read_parquet
@@ -268,3 +269,18 @@ def ingest_raw_sealed_opened(spark, sf_dir):
 
     sealed = decrypt_columns(copy("sealed"), ["c_name"], EXAMPLE_KEY)
     return copy("raw").unionByName(sealed).unionByName(copy("opened"))
+
+
+@query(
+    "sink_append_again",
+    "SELECT run_id, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders, (VALUES ('4001_202510'), ('4001_202511')) r(run_id) "
+    "WHERE run_id = '4001_202510' OR o_totalprice >= 100000",
+)
+def sink_append_again(spark, sf_dir):
+    """One run appended twice, once with too many rows, and another appended once: each run's last rows are there once."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    path = staging_folder(spark, "sink")
+    append_run(orders.union(orders), path, "4001_202510", "o_orderstatus")
+    append_run(orders.where("o_totalprice >= 100000"), path, "4001_202511", "o_orderstatus")
+    append_run(orders, path, "4001_202510", "o_orderstatus")
+    return read_runs(spark, path)
