@@ -266,8 +266,13 @@ def embedding_groups(
         ),
         "numbered",
     )
-    tops = numbered.where("root IS NOT NULL").groupBy(F.col("root").alias("top")).agg(F.min("smallest").alias("component_id"))
-    named = numbered.join(tops, F.col("root") == F.col("top"), "left").select(
+    # Components with more than a thousandth of these classes are at most a thousand, and are known everywhere.
+    tops = numbered.where("root IS NOT NULL").groupBy(F.col("root").alias("top")).agg(F.min("smallest").alias("component_id"), F.count("*").alias("n"))
+    tops = staged(tops, "tops")
+    large = F.col("n") > (tops.agg(F.sum("n")).first()[0] or 0) / 1000
+    of_large = numbered.join(F.broadcast(tops.where(large)), F.col("root") == F.col("top"), "left")
+    rest = of_large.where("root IS NOT NULL AND top IS NULL").select(*numbered.columns).join(tops.where(~large), F.col("root") == F.col("top"))
+    named = of_large.where("root IS NULL OR top IS NOT NULL").unionByName(rest).select(
         F.col("label").alias("l"), F.col("vector").alias("v"), "n_links", F.coalesce("component_id", "smallest").alias("component_id")
     )
     linked = whole.join(named, (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v"))).select("key", "n_links", "component_id")
