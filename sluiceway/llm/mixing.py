@@ -197,7 +197,7 @@ def _with_shards(rows: DataFrame, dealt: DataFrame) -> DataFrame:
     blocks = F.broadcast(dealt) if dealt.count() <= BROADCAST_BLOCKS else dealt
     return rows.join(
         blocks,
-        F.col("_source").eqNullSafe(F.col("of")) & (F.col("_class") == F.col("in")) & (F.col("_bin") == F.col("at")),
+        F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_class") == F.col("_in")) & (F.col("_bin") == F.col("_at")),
         "left",
     )
 
@@ -229,8 +229,8 @@ def mix_plan(
             F.col("_size").alias("size"),
             "source_size",
             "target",
-            (F.col("_size") * F.coalesce(F.size("shards"), F.lit(0))).cast("long").alias("taken"),
-            F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
+            (F.col("_size") * F.coalesce(F.size("_shards"), F.lit(0))).cast("long").alias("taken"),
+            F.coalesce("_shards", F.array().cast("array<int>")).alias("shards"),
         )
     )
 
@@ -246,7 +246,7 @@ def _deal(
     shards: int,
     bins: int,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents without their texts, the shards of each block (of, in, at), and each source's size and target."""
+    """Documents without their texts, the shards of each block (_of, _in, _at, _shards), and each source's size and target."""
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
     sizes = staged(_placed(slim, "key", "text", "source", bins).drop("text", "source"), "sizes")
     named = sizes.select(*[F.col(f"_{c}").alias(c) for c in ("source", "size", "class", "bin")])
@@ -320,7 +320,7 @@ def _deal(
         .groupBy("source", F.col("item.items.class").alias("class"), F.col("item.items.bin").alias("bin"))
         .agg(F.sort_array(F.collect_list("item.deal")).alias("shards"))
     )
-    dealt = staged(dealt.select(F.col("source").alias("of"), F.col("class").alias("in"), F.col("bin").alias("at"), "shards"), "dealt")
+    dealt = staged(dealt.select(F.col("source").alias("_of"), F.col("class").alias("_in"), F.col("bin").alias("_at"), F.col("shards").alias("_shards")), "dealt")
     return sizes, dealt, chosen.select(F.col("source").alias("name"), "source_size", "target")
 
 
@@ -343,7 +343,7 @@ def mix(
     _, dealt, _ = _deal(docs, key, text, source, weights, share, most, shards, bins)
     rows = docs.drop("shard", "copy")
     copies = _with_shards(_placed(rows, key, text, source, bins), dealt).select(
-        *[F.col(f"`{c}`") for c in rows.columns], "_print", F.posexplode("shards").alias("copy", "shard")
+        *[F.col(f"`{c}`") for c in rows.columns], "_print", F.posexplode("_shards").alias("copy", "shard")
     )
     return (
         copies.repartition(F.col("shard"))

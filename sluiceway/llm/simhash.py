@@ -169,6 +169,8 @@ def near_links(spark: SparkSession, distinct: DataFrame, radius: int, block: int
     pairs = placed.select(
         "bucket", "fp", "place", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select("bucket", "fp", "place", F.least("place", "other").alias("lo"), F.greatest("place", "other").alias("hi"))
+    # Without this, groups would stay where the join left them: all of a bucket in one task.
+    pairs = pairs.repartition("bucket", "lo", "hi")
     return links.union(pairs.groupBy("bucket", "lo", "hi").applyInPandas(_block_links(radius), "a long, b long"))
 
 

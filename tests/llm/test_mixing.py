@@ -83,3 +83,13 @@ def test_edges(spark):
     assert sorted(mixed.columns) == ["copy", "doc_id", "shard", "source", "text"]
     assert mixed.count() == sum(len(r.shards) for r in got)
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix_plan(docs.limit(0)).count() == 0
+
+
+def test_columns_named_like_the_operators_own(spark):
+    rows = [(k, "x " * (k % 7 + 1), "ab"[k % 2], k, k, k, k) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, of int, at int, shards int, name int")
+    docs = docs.withColumn("in", docs["of"])
+    mixed = mixing.mix(docs, shards=4)
+    assert sorted(mixed.columns) == sorted([*docs.columns, "copy", "shard"])
+    assert mixed.where("of <> doc_id OR at <> doc_id OR `in` <> doc_id OR shards <> doc_id").count() == 0 < mixed.count()
+    assert mixing.mix_plan(docs).count() == 40
