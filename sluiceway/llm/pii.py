@@ -2,11 +2,16 @@
 
 Exact rules find the base spans, which always stand. Wider generators propose spans that may overlap: addresses written
 around the at sign, numbers in groups, dotted or coloned numbers. Gradient-boosted trees score each candidate by its
-format and the text around it; they learn, from all candidates of the corpus, which look like those the exact rules
-accept. A threshold per kind, calibrated to a share of accepted ones, selects what is added.
-
-Features are small bins, so all candidates of a corpus come down to one row per combination of bins: what the trees
-learn from is a table whose size the bins bound, counted over every document. Trees are scored as plain expressions.
+format and the text around it. They learn from positive and unlabelled examples: spans of the exact rules are positive,
+and what else the generators propose is unlabelled, not negative. Features leave out the marks the exact rules ask for
+(country code and plus sign, spelling of at sign and dots, check digit), so that a candidate without them can look
+like a span. A threshold per kind, set by the recall of spans of documents that were not learned from, selects what is
+added.
+
+Features are small bins. Trees tell how often spans take a combination of bins from combinations that occur at all,
+each counted once: how many candidates share a format doesn't change the verdict on it, and weights are shares, so a
+corpus twice over gives the same trees. What they learn from is one row per combination, counted over every document,
+whose number the bins bound. Trees are scored as plain expressions.
 """
 
 from __future__ import annotations
@@ -36,13 +41,21 @@ WIDE = {
     "card": r"[0-9](?:[\x20./-]?[0-9]){11,20}+",
     "phone": r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}+",
 }
-# Candidates at or above the threshold are right in this share at least, as far as the exact rules know, and so many are.
-PRECISION, SUPPORT = 0.95, 20
-ROUNDS, RATE, LEAVES_LEAST = 30, 0.3, 20.0
+# At and above a kind's threshold are this share of its spans in documents held out, one in so many.
+RECALL, HELD_OUT = 0.95, 5
+# A side of a split has this share of all weight at least; SMOOTH is the weight that pulls leaves to 0.
+ROUNDS, RATE, LEAVES_LEAST, SMOOTH = 30, 0.3, 0.001, 0.01
+
+
+# Words in front of a candidate that name what it is.
+NAMED = r"(?:tel|phone|call|mobile|fax|mail|card|visa|addr|contact|host|\bip\b)[^a-z]*$"
 
 
 def spans_of(text: Column, pattern: str) -> Column:
-    """Leftmost matches that don't overlap: structs of start, end (code points) and match, and the text on both sides."""
+    """Leftmost matches that don't overlap: structs of start, end (code points) and match, and the text on both sides.
+
+    Text on a side reaches up to the far end of the next match there, so that long texts are not searched for it.
+    """
     matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
 
     def placed(both: Column) -> Column:
@@ -54,8 +67,8 @@ def spans_of(text: Column, pattern: str) -> Column:
                 (s["end"] - F.length(s["match"])).alias("start"),
                 s["end"].alias("end"),
                 s["match"].alias("match"),
-                F.right(F.get(gaps, i), F.lit(24)).alias("before"),
-                F.left(F.get(gaps, i + 1), F.lit(8)).alias("after"),
+                F.right(F.concat(F.coalesce(F.get(both["matches"], i - 1), F.lit("")), F.get(gaps, i)), F.lit(24)).alias("before"),
+                F.left(F.concat(F.get(gaps, i + 1), F.coalesce(F.get(both["matches"], i + 1), F.lit(""))), F.lit(8)).alias("after"),
             ),
         )
 
@@ -85,7 +98,7 @@ def fits(kind: str, match: Column) -> Column:
     if kind == "ip":
         return F.forall(
             F.split(match, r"\."),
-            lambda p: F.when(F.length(F.ltrim(p, F.lit("0"))) <= 3, F.concat(F.lit("0"), F.ltrim(p, F.lit("0"))).cast("int") <= 255).otherwise(False),
+            lambda p: F.when(p.rlike("^0*[0-9]{1,3}$"), F.concat(F.lit("0"), F.ltrim(p, F.lit("0"))).try_cast("int") <= 255).otherwise(False),
         )
     digits = _digits(match)
     if kind == "card":
@@ -100,22 +113,38 @@ def _searched(text: Column, kind: str) -> Column:
     return text.rlike("[0-9]")
 
 
+def masked(kind: str, match: Column) -> Column:
+    """A match without the marks that only the exact rule asks for."""
+    if kind == "email":
+        return F.regexp_replace(
+            F.regexp_replace(match, r"\x20?(?:@|[\(\[]at[\)\]])\x20?", "@"), r"\x20?[\(\[]dot[\)\]]\x20?", "."
+        )
+    if kind == "phone":
+        return F.regexp_replace(match, r"^\+(?:[0-9]{1,3}(?:[\x20.-]+|(?=\()))?", "")
+    return match
+
+
 def _bins(kind: str, s: Column) -> dict[str, Column]:
-    """Features of a candidate: its format, and what is around it, but not the marks that the exact rules start from."""
-    match, before, after = s["match"], F.lower(s["before"]), s["after"]
+    """Features of a candidate: its format without the marks of the exact rule, and what is around it."""
+    before, after = F.lower(s["before"]), s["after"]
+    match = masked(kind, s["match"])
     digits = F.length(_digits(match))
     marks = F.length(match) - F.length(F.regexp_replace(match, "[^A-Za-z0-9]", ""))
+    dots = F.length(match) - F.length(F.replace(match, F.lit("."), F.lit("")))
+    # Of an address it tells little how many dots and digits it has; of a number they are its format.
+    if kind == "email":
+        digits, dots, marks = F.lit(0), F.when(match.rlike(r"@[^.]+\."), 1).otherwise(0), F.lit(0)
     return {
         "kind": F.lit(KINDS.index(kind)),
         "digits": F.least(digits, F.lit(20)),
         "marks": F.least(marks, F.lit(6)),
-        "dots": F.least(F.length(match) - F.length(F.replace(match, F.lit("."), F.lit(""))), F.lit(4)),
+        "dots": F.least(dots, F.lit(4)),
         "open": F.when(match.contains("("), 1).otherwise(0),
         "blank": F.when(match.contains(" "), 1).otherwise(0),
         "left": F.when(before.rlike("[0-9A-Za-z]$"), 2).when(before.rlike(r"[.+(/:-]$"), 1).otherwise(0),
         "right": F.when(after.rlike("^[0-9A-Za-z]"), 2).when(after.rlike("^[/:-]"), 1).otherwise(0),
-        "named": F.when(before.rlike(r"(?:tel|phone|call|mobile|fax|mail|card|visa|addr|contact|host|\bip\b)[^a-z]*$"), 1).otherwise(0),
-        "whole": F.when(fits("ip", match) if kind == "ip" else (luhn(_digits(match)) if kind == "card" else F.lit(True)), 1).otherwise(0),
+        "named": F.when(before.rlike(NAMED), 1).otherwise(0),
+        "whole": F.when(fits("ip", match), 1).otherwise(0) if kind == "ip" else F.lit(1),
     }
 
 
@@ -123,9 +152,9 @@ FEATURES = ("kind", "digits", "marks", "dots", "open", "blank", "left", "right",
 
 
 def with_candidates(docs: DataFrame, text: str) -> DataFrame:
-    """`docs` with columns `_base` (spans of the exact rules) and `_wide` (candidates with features and a label).
+    """`docs` with columns `_base` (spans of the exact rules), `_wide` (candidates with features and a label), `_held`.
 
-    The label of a candidate says that it is a span of an exact rule of its kind.
+    The label of a candidate says that it is a span of an exact rule of its kind. `_held` marks texts held out.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     none = "array<struct<start:bigint,end:bigint,kind:int>>"
@@ -154,7 +183,8 @@ def with_candidates(docs: DataFrame, text: str) -> DataFrame:
             )
         )
         wide.append(F.coalesce(F.col(f"_wide_{kind}"), F.array()))
-    return rows.withColumn("_wide", F.concat(*wide)).drop(*[f"_{p}_{k}" for p in ("base", "wide") for k in KINDS])
+    held = F.crc32(body.cast("binary")) % HELD_OUT == 0
+    return rows.withColumn("_wide", F.concat(*wide)).withColumn("_held", held).drop(*[f"_{p}_{k}" for p in ("base", "wide") for k in KINDS])
 
 
 def _in_order(a: Column, b: Column) -> Column:
@@ -203,7 +233,7 @@ class Model:
 def _grow(cells: list[tuple], depth: int) -> Tree | float:
     """Tree over cells (row, gradient, hessian, weight) by the largest gain."""
     g, h = sum(c[1] for c in cells), sum(c[2] for c in cells)
-    leaf = RATE * g / (h + 1.0)
+    leaf = RATE * g / (h + SMOOTH)
     if not depth:
         return leaf
     best = (1e-6, None, None)
@@ -219,7 +249,11 @@ def _grow(cells: list[tuple], depth: int) -> Tree | float:
         for value, following in zip(sorted(totals), sorted(totals)[1:]):
             below = [a + b for a, b in zip(below, totals[value])]
             if min(below[2], weight - below[2]) >= LEAVES_LEAST:
-                gain = below[0] ** 2 / (below[1] + 1) + (g - below[0]) ** 2 / (h - below[1] + 1) - g**2 / (h + 1)
+                right = (g - below[0]) ** 2 / (h - below[1] + SMOOTH)
+                gain = below[0] ** 2 / (below[1] + SMOOTH) + right - g**2 / (h + SMOOTH)
+                # A word that names the kind speaks for a candidate, also where the corpus has few.
+                if feature == "named" and (g - below[0]) * below[1] < below[0] * (h - below[1]):
+                    continue
                 best = max(best, (gain, feature, following), key=lambda b: b[0])
     if best[1] is None:
         return leaf
@@ -232,38 +266,55 @@ def _grow(cells: list[tuple], depth: int) -> Tree | float:
     )
 
 
-def learn(found: DataFrame) -> Model:
-    """Boost trees on the candidates of all rows of `found`, and calibrate a threshold per kind.
+def boosted(cells: list[tuple[dict, float, float]]) -> Model:
+    """Trees and thresholds from cells: a combination of bins, and how many spans of learned and held out texts take it.
 
-    What comes to the driver is a count per combination of bins, not per candidate.
+    A kind whose spans are all learned or all held out uses them for both; a kind without spans has no threshold.
     """
-    cells = (
-        found.select(F.explode("_wide").alias("c"))
-        .groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES])
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("c.label").cast("long")).alias("hits"))
-        .collect()
-    )
-    cells = sorted(cells)
-    total, right = sum(c.rows for c in cells), sum(c.hits for c in cells)
-    start = math.log((right + 1) / (total - right + 1))
-    scores, trees = [start] * len(cells), []
-    for _ in range(ROUNDS if cells else 0):
+    own = {k: [c for c in cells if c[0]["kind"] == k] for k in range(len(KINDS))}
+    rows: list[tuple[dict, float, float, float]] = []
+    for kind in own.values():
+        learned, held = sum(c[1] for c in kind), sum(c[2] for c in kind)
+        if learned + held == 0:
+            continue
+        of_learned, of_held = 1 if learned else 2, 2 if held else 1
+        for c in kind:
+            # Shares of spans learned, of combinations, and of spans held out.
+            rows.append((c[0], c[of_learned] / (learned or held), 1 / len(kind), c[of_held] / (held or learned)))
+    total = sum(y + r for _, y, r, _ in rows)
+    scores, trees = [0.0] * len(rows), []
+    for _ in range(ROUNDS if rows else 0):
         chances = [1 / (1 + math.exp(-s)) for s in scores]
-        tree = _grow([(c, c.hits - c.rows * p, c.rows * p * (1 - p), c.rows) for c, p in zip(cells, chances)], 3)
+        steps = [(c, y - (y + r) * p, (y + r) * p * (1 - p), (y + r) / total) for (c, y, r, _), p in zip(rows, chances)]
+        tree = _grow(steps, 3)
         if not isinstance(tree, Tree):
             break
         trees.append(tree)
-        scores = [s + tree.value(c) for s, c in zip(scores, cells)]
+        scores = [s + tree.value(c) for s, (c, *_) in zip(scores, rows)]
     thresholds = {}
-    for kind in range(len(KINDS)):
-        rows = right = 0
-        own = sorted(((s, c) for s, c in zip(scores, cells) if c.kind == kind), key=lambda x: -x[0])
-        for place, (score, c) in enumerate(own):
-            rows, right = rows + c.rows, right + c.hits
-            # Cells of one score stand or fall together.
-            if (place + 1 == len(own) or own[place + 1][0] < score - 1e-9) and right >= max(SUPPORT, PRECISION * rows):
+    for kind in own:
+        reached = 0.0
+        for score, share in sorted(((s, h) for s, (c, _, _, h) in zip(scores, rows) if c["kind"] == kind), reverse=True):
+            reached += share
+            if reached >= RECALL - 1e-9:
                 thresholds[kind] = score - 1e-6
-    return Model(trees, start, thresholds)
+                break
+    return Model(trees, 0.0, thresholds)
+
+
+def learn(found: DataFrame) -> Model:
+    """Boost trees on the candidates of all rows of `found`, and set a threshold per kind.
+
+    What comes to the driver is a count per combination of bins, not per candidate.
+    """
+    hit = F.col("c.label").cast("long")
+    cells = (
+        found.select("_held", F.explode("_wide").alias("c"))
+        .groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES])
+        .agg(F.sum(F.when(F.col("_held"), 0).otherwise(hit)).alias("learned"), F.sum(F.when(F.col("_held"), hit).otherwise(0)).alias("held"))
+        .collect()
+    )
+    return boosted([({f: c[f] for f in FEATURES}, c.learned, c.held) for c in sorted(cells)])
 
 
 def _selected(model: Model) -> Column:
@@ -288,17 +339,18 @@ def pii_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """One row (key, base, spans) per document: arrays of start, end and kind (its place in KINDS).
 
     Positions count code points, ends are exclusive. A NULL text is like an empty one and has no spans. Repeated rows
-    get equal results; a NULL key stays NULL; other columns are ignored; an empty table gives an empty result. A kind with
-    fewer than `SUPPORT` spans of its exact rule in the whole corpus gets none added.
+    get equal results; a NULL key stays NULL; other columns are ignored; an empty table gives an empty result. A kind
+    without any span of its exact rule in the whole corpus gets none added, since nothing tells how its spans look there.
+    A number written like the cards of the corpus is added although its check digit is wrong: it may be mistyped.
     """
     slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    found = staged(with_candidates(slim, "text").select("key", "_base", "_wide"), "candidates")
+    found = staged(with_candidates(slim, "text").select("key", "_base", "_wide", "_held"), "candidates")
     return found.select(F.col("key").alias(key), F.col("_base").alias("base"), _selected(learn(found)).alias("spans"))
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with every span of its texts replaced by its kind in brackets; of spans that overlap, the first names both."""
-    model = learn(staged(with_candidates(docs.select(text), text).select("_base", "_wide"), "candidates"))
+    model = learn(staged(with_candidates(docs.select(text), text).select("_base", "_wide", "_held"), "candidates"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     body = F.col(text).cast("string")
     piece = lambda a, b: F.substring(body, (a + 1).cast("int"), (b - a).cast("int"))
