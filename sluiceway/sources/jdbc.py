@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +79,20 @@ def read_jdbc(
     query: str | None = None,
     split: ReadSplit | None = None,
     fetch_size: int | None = None,
+    ranges: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Read a remote table or query.  Filters and columns on a table are pushed down."""
+    """Read a remote table or query.  Filters and columns on a table are pushed down.
+
+    ``ranges`` are conditions of which every row meets exactly one, such as
+    ``splits.derived_ranges`` gives; each is read by a task of its own.
+    """
     options = read_options(connection, dbtable, query, split, fetch_size)
+    if ranges:
+        if split is not None:
+            raise ValueError("a JDBC read is split by ranges or by bounds, not by both")
+        place = f"({query}) q" if query else str(dbtable)
+        about = {k: v for k, v in options.items() if k not in ("url", "query", "dbtable")}
+        return spark.read.jdbc(options["url"], place, predicates=list(ranges), properties=about)
     return spark.read.format("jdbc").options(**options).load()
 
 

@@ -3,11 +3,14 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluiceway.functions.names import is_yes
 from sluiceway.sources.batches import batch_folder, batch_root, descriptor_schema, read_batch
 from sluiceway.sources.files import PLAIN_FILES, has_files, read_delimited, read_first_available, read_fixed_width
 from sluiceway.sources.jdbc import ReadSplit, read_jdbc, read_options, remote_columns
+from sluiceway.sources.splits import derived_ranges
+from sluiceway.sources.typed import read_typed
 
 CONNECTION = {
     "driver": "no.such.Driver",
@@ -150,3 +153,69 @@ def test_jdbc_readers_reach_the_driver(spark):
 
 def test_flags_default_to_off():
     assert not is_yes({}.get("header"))
+
+
+CELLS = {
+    "small": (["1", "-2", None], "int"),
+    "long": (["1", "3000000000", "0"], "bigint"),
+    "longer": (["1", "99999999999999999999", "0"], "decimal(38,0)"),
+    "longest": (["1", "9" * 50, "0"], "double"),
+    "fraction": (["1", "2.5", "1e3"], "double"),
+    "day": (["2024-02-29", None, "1999-12-31"], "date"),
+    "no_day": (["2023-02-29", "2024-02-29", None], "string"),
+    "time": (["2024-02-29", "2024-01-01 10:11:12.5", None], "timestamp"),
+    "mixed": (["2024-02-29", "7", None], "string"),
+    "empty": ([None, None, None], "string"),
+    "dotted.name": (["1", "x", "2"], "string"),
+}
+
+
+def test_types_of_cells(spark, folder):
+    rows = list(zip(*[cells for cells, _ in CELLS.values()]))
+    put(f"{folder}/a/one.csv", "|".join(CELLS) + "\n" + "".join("|".join(c or "" for c in r) + "\n" for r in rows[:2]))
+    put(f"{folder}/a/two.csv", "|".join(CELLS) + "\n" + "|".join(c or "" for c in rows[2]) + "\n")
+    got = read_typed(spark, f"{folder}/a", header=True)
+    assert got.columns == list(CELLS)
+    assert [t for _, t in got.dtypes] == [t for _, t in CELLS.values()]
+    assert got.count() == 3
+    # One type for a column, whichever file or row comes first.
+    assert [t for _, t in read_typed(spark, f"{folder}/a/two.csv", header=True).dtypes][3] == "int"
+    put(f"{folder}/none.csv", "a|b\n")
+    assert read_typed(spark, f"{folder}/none.csv", header=True).dtypes == [("a", "string"), ("b", "string")]
+
+
+def test_text_is_parsed_once(spark, folder):
+    put(f"{folder}/a.csv", "a|b\n1|2\n")
+    plan = read_typed(spark, f"{folder}/a.csv", header=True).select("b")._jdf.queryExecution().toString()
+    assert "csv" not in plan.lower().replace("a.csv", "") and "ReadSchema: struct<c1:string>" in plan
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(12,2)", "date", "timestamp"])
+def test_derived_ranges_are_even_and_miss_no_row(spark, kind):
+    """A third of the rows hold one value, some none; the other values are far apart at one end."""
+    number = F.when(F.col("id") % 3 == 0, 50).when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") * F.col("id")) % 90_000)
+    value = {
+        "date": F.date_add(F.lit("2000-01-01").cast("date"), number.cast("int")),
+        "timestamp": F.timestamp_seconds(number.cast("bigint") * 1000),
+    }.get(kind, number.cast(kind))
+    rows = spark.range(0, 20_000, 1, 4).select(value.alias("a`b c"))
+    ranges = derived_ranges(rows, "a`b c", 20)
+    sizes = [rows.where(r).count() for r in ranges]
+    assert sum(sizes) == 20_000 and sizes[-1] == rows.where(F.col("`a``b c`").isNull()).count() > 0
+    filled = 20_000 - sizes[-1]
+    assert sorted(sizes[:-1])[-2] < 2 * filled / 20 and max(sizes[:-1]) < filled / 2
+    once = sum(F.coalesce(F.expr(r), F.lit(False)).cast("int") for r in ranges)
+    assert rows.where(once != 1).isEmpty()
+
+
+def test_derived_ranges_at_the_edges(spark):
+    none = spark.range(3).select(F.lit(None).cast("int").alias("a"))
+    assert derived_ranges(none, "a", 4) == derived_ranges(none, "a", 1) == ["`a` IS NOT NULL", "`a` IS NULL"]
+    odd = spark.createDataFrame([(float("nan"),), (float("-inf"),), (1.0,), (2.0,), (None,)], "a double")
+    assert sum(odd.where(r).count() for r in derived_ranges(odd, "a", 2)) == 5
+    with pytest.raises(TypeError):
+        derived_ranges(spark.createDataFrame([("x",)], "a string"), "a", 2)
+    with pytest.raises(ValueError):
+        derived_ranges(none, "a", 0)
+    with pytest.raises(ValueError, match="not by both"):
+        read_jdbc(spark, CONNECTION, dbtable="s.t", split=ReadSplit("a", 1, 2, 2), ranges=["a IS NULL"])

@@ -15,6 +15,8 @@ from sluiceway.sources.files import (
     read_headerless,
     read_parquet,
 )
+from sluiceway.sources.splits import derived_ranges
+from sluiceway.sources.typed import read_typed
 from workload.registry import query, table, write_batch
 
 
@@ -118,6 +120,52 @@ def csv_header_infer(spark, sf_dir):
     return found.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
+@query(
+    "csv_types_one_scan",
+    """
+    SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS day,
+           CAST(o_orderdate AS TIMESTAMP) AS moment, o_orderpriority,
+           CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS mixed,
+           CAST(o_custkey AS BIGINT) * 10000000000 AS large, CAST(NULL AS VARCHAR) AS nothing
+    FROM orders
+    """,
+)
+def csv_types_one_scan(spark, sf_dir):
+    """Types of cells by one aggregate: whole numbers of two sizes, fractions, days, times, a mixture, no cell at all."""
+    day, moment = F.col("o_orderdate").cast("date"), F.col("o_orderdate").cast("timestamp")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        "o_totalprice",
+        day.cast("string").alias("day"),
+        F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("moment"),
+        "o_orderpriority",
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise(day.cast("string")).alias("mixed"),
+        (F.col("o_custkey").cast("bigint") * 10_000_000_000).alias("large"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    folder = staging_folder(spark, "landing")
+    rows.write.options(sep="|", header=True).csv(f"{folder}/orders")
+    found = read_typed(spark, f"{folder}/orders", header=True)
+    return found.withColumn("moment", F.col("moment").cast("timestamp_ntz"))
+
+
+@query(
+    "read_split_derived",
+    """
+    SELECT l_orderkey, l_linenumber, CAST(1 AS BIGINT) AS n_ranges, l_returnflag = 'R' AS in_null_range
+    FROM lineitem
+    """,
+)
+def read_split_derived(spark, sf_dir):
+    """Ranges of equal depth over a column with one hot value and NULLs: every row is in exactly one."""
+    split = F.when(F.col("l_returnflag") == "R", F.lit(None)).when(F.col("l_linenumber") == 1, 7).otherwise(F.col("l_orderkey"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", split.cast("bigint").alias("split"))
+    met = [F.coalesce(F.expr(p), F.lit(False)) for p in derived_ranges(rows, "split", 16)]
+    count = sum((m.cast("bigint") for m in met[1:]), met[0].cast("bigint"))
+    return rows.select("l_orderkey", "l_linenumber", count.alias("n_ranges"), met[-1].alias("in_null_range"))
+
+
 @query("first_available_parquet", "SELECT * FROM supplier")
 def first_available_parquet(spark, sf_dir):
     folder = staging_folder(spark, "landing")
