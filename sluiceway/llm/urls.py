@@ -3,8 +3,8 @@
 Urls that a rule allows or blocks are the corpora of two variable-order Markov models over characters. Each model's
 probability of a character mixes the orders from none to `ORDER` characters of context, each order weighted by how often
 its context was seen against how many different characters followed it (Witten-Bell). A url's score is the mean over
-its characters of the logarithm of accepted over rejected probability; the threshold is the one that tells the urls the
-rules judge apart best.
+its characters of the logarithm of accepted over rejected probability. Models learn from four fifths of the judged urls,
+by a checksum of the text; the threshold is the one that tells the other fifth apart best.
 
 Counts, models and scores are tables: counting is a sum over all urls of the corpora, and a url is scored by a join of
 its character sequences with the table of their ratios.
@@ -24,6 +24,8 @@ ORDER = 4
 START, END = "\x02", "\x03"
 # Scores are compared with the threshold by steps of this size.
 STEP = 0.005
+# One of so many different urls is held out of the models, to set the threshold by.
+HELD_OUT = 5
 
 
 @dataclass(frozen=True)
@@ -134,7 +136,8 @@ def judged_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules:
     """One row (key, url, host, path, rule, verdict, score) per row of `pages`.
 
     The verdict is the longest fitting rule's, else the models': allow at or above the threshold. Where the rules allow
-    no url at all or block none, there is nothing to compare, and the verdict is allow. A NULL url is scored as an empty
+    no url at all or block none, there is nothing to compare, and the verdict is allow; where only the urls held out lack
+    one of both, all judged urls set the threshold. A NULL url is scored as an empty
     text, has empty host and path and fits no rule. Repeated rows get equal results; other columns are ignored; an empty
     table gives an empty result.
     """
@@ -149,10 +152,11 @@ def judged_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules:
     ruled = [rule_of(F.col("host"), F.col("path"), rules, what) for what in (lambda r: r.name, lambda r: r.verdict)]
     rows = rows.select("*", ruled[0].alias("rule"), ruled[1].alias("known"))
     # Equal texts are scored once. A text may have urls with and without a rule, since a text leaves the scheme out.
-    texts = staged(rows.groupBy("text", "known").agg(F.count(F.lit(1)).alias("rows")), "texts")
+    held = F.crc32(F.col("text").cast("binary")) % HELD_OUT == 0
+    texts = staged(rows.groupBy("text", "known").agg(F.count(F.lit(1)).alias("rows")).withColumn("held", held), "texts")
     counts = staged(
         _grams(texts).groupBy("gram").agg(
-            *[F.sum(F.when(F.col("known") == v, F.col("rows")).otherwise(0)).alias(c) for c, v in (("yes", "allow"), ("no", "block"))]
+            *[F.sum(F.when((F.col("known") == v) & ~F.col("held"), F.col("rows")).otherwise(0)).alias(c) for c, v in (("yes", "allow"), ("no", "block"))]
         ),
         "grams",
     )
@@ -163,7 +167,9 @@ def judged_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules:
         occurring.join(ratios, "gram").groupBy("text").agg(F.avg("ratio").alias("score")), "scores"
     )
     scored = texts.join(scores, "text")
-    level = staged(threshold_of(scored), "threshold").first()
+    level = threshold_of(scored.where("held")).first()
+    if level is None or level.threshold is None:
+        level = threshold_of(scored).first()
     allowed = F.lit(True) if level is None or level.threshold is None else F.floor(F.col("score") / STEP) >= level.threshold
     return (
         rows.join(scores.withColumnRenamed("text", "of"), F.col("text") == F.col("of"))

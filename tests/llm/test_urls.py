@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -24,6 +25,10 @@ def rule_for(host, path):
     return max(fits, key=lambda r: len(r.name), default=None)
 
 
+def held(text):
+    return zlib.crc32(text.encode()) % urls.HELD_OUT == 0
+
+
 def brute(links):
     """(host, path, rule, verdict, score) of each link, by plain dictionaries."""
     order, judged = urls.ORDER, []
@@ -36,7 +41,7 @@ def brute(links):
         padded = urls.START * order + text + urls.END
         for i in range(order, len(padded)):
             letters.add(padded[i])
-            if rule:
+            if rule and not held(text):
                 for k in range(order + 1):
                     counts[rule.verdict][k][padded[i - k : i]][padded[i]] += 1
 
@@ -55,7 +60,10 @@ def brute(links):
 
     scores = [score(text) for *_, text in judged]
     steps = [math.floor(s / urls.STEP) for s in scores]
-    known = [(b, r.verdict) for b, (_, _, r, _) in zip(steps, judged) if r]
+    judged_by_rule = [(b, r.verdict, held(t)) for b, (_, _, r, t) in zip(steps, judged) if r]
+    known = [(b, v) for b, v, out in judged_by_rule if out]
+    if len({v for _, v in known}) < 2:
+        known = [(b, v) for b, v, _ in judged_by_rule]
     total = Counter(v for _, v in known)
     level = None
     if len(total) == 2:
