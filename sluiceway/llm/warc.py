@@ -17,6 +17,9 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CONV32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 # The profile of a revisit by equal payload, and the type of its content.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HTML_TYPE = "text/html; charset=utf-8"
+# The date of records whose own is not known.
+UNDATED = "1970-01-01T00:00:00Z"
 LINE = "\r\n"
 
 
@@ -39,35 +42,52 @@ def field(header: Column, name: str) -> Column:
     return F.when(header.contains(f"\n{name}: "), found)
 
 
-def write_archive(pages: DataFrame, path: str, key: str, url: str, html: str, least: int = 0) -> None:
+def write_archive(pages: DataFrame, path: str, key: str, url: str, html: str, least: int = 0, date: str | None = None) -> None:
     """Write a record per row of `pages`.
 
     Of rows with equal payloads of at least `least` bytes, the one with the largest key is a response and the others
     revisit it; rows with smaller payloads are all responses. A NULL html is an empty payload. A NULL key is smaller
     than any other; rows that repeat the largest key with the same payload are all responses to the one stored
-    payload. Line ends in a url are percent-encoded, so that a header field stays one line. Other columns are ignored.
+    payload. Line ends in a url are percent-encoded, so that a header field stays one line. `date` names a column of
+    timestamps; without it, and where it is NULL, records have the date `UNDATED`. Rows alike in key, url, payload and
+    date are numbered, so that no two records share an id. Other columns are ignored.
     """
     payload = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
+    when = F.date_format(F.to_utc_timestamp(F.col(date).cast("timestamp"), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'") if date else F.lit(None)
+    rows = pages.select(
+        F.col(key).cast("long").alias("key"),
+        F.col(url).cast("string").alias("url"),
+        F.coalesce(when, F.lit(UNDATED)).alias("date"),
+        payload.alias("payload"),
+    )
     digest = F.sha2("payload", 256).alias("digest")
     # One shuffle of payloads: equal ones become one already before it.
     rows.groupBy(digest, F.octet_length("payload").cast("long").alias("bytes")).agg(
         F.first("payload").alias("payload")
     ).select("digest", "bytes", "payload").write.parquet(f"{path}/payloads")
 
-    slim = rows.select("key", "url", digest, F.octet_length("payload").cast("long").alias("bytes"), base32_sha1(F.col("payload")).alias("sha1"))
-    largest = slim.groupBy("digest").agg(F.max("key").alias("largest")).withColumnRenamed("digest", "of")
-    named = slim.join(largest, F.col("digest") == F.col("of"))
-    is_response = (F.col("bytes") < least) | F.col("key").eqNullSafe(F.col("largest"))
+    # Rows alike become one row and a count before any shuffle, whatever their number.
+    slim = rows.groupBy(
+        "key", "url", "date", digest, F.octet_length("payload").cast("long").alias("bytes"), base32_sha1(F.col("payload")).alias("sha1")
+    ).agg(F.count(F.lit(1)).alias("alike"))
+    # An id is the key, a hash of what else tells records apart, and a number among those alike.
+    rest = F.substring(F.sha2(F.concat_ws("\n", F.col("date"), F.col("digest"), F.coalesce(F.concat(F.lit("u"), "url"), F.lit("none"))), 256), 1, 32)
+    slim = slim.withColumn("name", F.concat(F.coalesce(F.col("key").cast("string"), F.lit("none")), F.lit(":"), rest))
+    # NULL keys come last in a maximum.
+    largest = slim.groupBy("digest").agg(F.max(F.struct("key", "name")).alias("largest")).withColumnRenamed("digest", "of")
+    named = slim.join(largest, F.col("digest") == F.col("of")).withColumn("nr", F.explode(F.sequence(F.lit(1).cast("long"), "alike")))
+    is_response = (F.col("bytes") < least) | F.col("key").eqNullSafe(F.col("largest.key"))
     clean_url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     header = _header(
         [
             ("WARC-Type", F.when(is_response, "response").otherwise("revisit")),
-            ("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("key").cast("string"), F.lit("none")), F.lit(">"))),
+            ("WARC-Record-ID", F.concat(F.lit("<urn:page:"), "name", F.lit(":"), F.col("nr").cast("string"), F.lit(">"))),
+            ("WARC-Date", F.col("date")),
             ("WARC-Target-URI", clean_url),
             ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-            ("WARC-Refers-To", F.when(~is_response, F.concat(F.lit("<urn:page:"), F.col("largest").cast("string"), F.lit(">")))),
+            ("WARC-Refers-To", F.when(~is_response, F.concat(F.lit("<urn:page:"), F.col("largest.name"), F.lit(":1>")))),
             ("WARC-Profile", F.when(~is_response, F.lit(SAME_PAYLOAD))),
+            ("Content-Type", F.when(is_response, F.lit(HTML_TYPE))),
             ("Content-Length", F.when(is_response, F.col("bytes")).otherwise(0).cast("string")),
         ]
     )
@@ -88,7 +108,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("digest").alias("of"), F.col("bytes").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")
     )
     records = spark.read.parquet(f"{path}/records").select("header", "digest")
-    number = lambda name: F.regexp_extract(field(F.col("header"), name), "^<urn:page:(-?[0-9]+)>$", 1)
+    number = lambda name: F.regexp_extract(field(F.col("header"), name), "^<urn:page:(-?[0-9]+):[0-9a-f]+:[0-9]+>$", 1)
     return records.join(stored, F.col("digest") == F.col("of")).select(
         F.nullif(number("WARC-Record-ID"), F.lit("")).cast("long").alias("key"),
         field(F.col("header"), "WARC-Target-URI").alias("url"),

@@ -40,9 +40,29 @@ def test_round_trip(spark, folder, least):
         length = int(head.split(b"Content-Length: ")[1])
         assert rest[length:] == b"\r\n\r\n" and head.startswith(b"WARC/1.1\r\n") and head.count(b"WARC-Type: ") <= 2
         assert rest[:length] == (bytes(r.payload) if b"WARC-Type: response" in head else b"")
+    ids = [bytes(r.record).split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0] for r in rebuilt]
+    responses = {i for i, r in zip(ids, rebuilt) if b"WARC-Type: response" in bytes(r.record)}
+    assert len(set(ids)) == len(rows)  # rows that repeat a key, alike or not, have ids of their own
+    for r in rebuilt:
+        head = bytes(r.record).partition(b"\r\n\r\n")[0]
+        assert head.count(b"\r\nWARC-Date: 1970-01-01T00:00:00Z\r\n") == 1
+        assert (b"\r\nContent-Type: text/html" in head) == (b"WARC-Type: response" in head)
+        if b"WARC-Type: revisit" in head:
+            assert head.split(b"WARC-Refers-To: ")[1].split(b"\r\n")[0] in responses
     assert warc.read_payloads(spark, folder + "/a").count() == len({h or "" for _, h in rows})
 
 
+def test_own_dates_tell_records_apart(spark, folder):
+    rows = [(1, "u", "a", "2024-02-03 04:05:06"), (1, "u", "a", "2024-02-03 04:05:07"), (2, "u", "b", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, at string")
+    warc.write_archive(pages, folder + "/d", "page_id", "url", "html", date="at")
+    heads = [r.header for r in warc.read_records(spark, folder + "/d").collect()]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    want = [r[0] for r in spark.sql(f"SELECT date_format(to_utc_timestamp(timestamp'2024-02-03 04:05:06', '{zone}'), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")").collect()]
+    assert sum(want[0] in h for h in heads) == 1 and sum(warc.UNDATED in h for h in heads) == 1
+    assert len({h.split("WARC-Record-ID: ")[1].split("\r\n")[0] for h in heads}) == 3
+
+
 def test_empty_table_and_broken_payload(spark, folder):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archive(pages, folder + "/none", "page_id", "url", "html")
