@@ -18,8 +18,10 @@ from sluiceway.llm.words import word_lists
 
 # Words of a passage.
 PASSAGE = 100
-# The bounds of what is learned from: documents of each label, and passages of each of them, evenly spaced.
-SAMPLE, SAMPLE_PASSAGES = 1500, 64
+# The bound of what is learned from: documents of each label. All their passages count.
+SAMPLE = 1500
+# From twice as many passages on, runs of neighbours are averaged for learning, so that a bag has a bounded size.
+LONGEST = 1024
 HIDDEN, GATE, EPOCHS, SEED = 16, 8, 250, 5
 ACCEPT = 0.3
 # Passages encoded at once.
@@ -173,6 +175,22 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, prior: float) -> Model:
     return Model(mean, scale, **w, out_0=out_0)
 
 
+def pooled(passages, longest: int = LONGEST) -> np.ndarray:
+    """A document's passages for learning: all of them, or at most twice `longest` means of runs, twice as long whenever too many."""
+    rows, run, total, held = [], 1, np.zeros(FEATURES), 0
+    for one in passages:
+        total, held = total + one, held + 1
+        if held < run:
+            continue
+        rows.append(total / held)
+        total, held = np.zeros(FEATURES), 0
+        if len(rows) == 2 * longest:
+            rows, run = [(a + b) / 2 for a, b in zip(rows[::2], rows[1::2])], 2 * run
+    if held:
+        rows.append(total / held)
+    return np.array(rows)
+
+
 def held_out(key: Column) -> Column:
     """Rows never learned from: a checksum of the key as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -201,9 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
         for batch in batches:
             bags = []
             for one in batch.column(1).cast(pa.binary()):
-                bag = np.array(list(document_features(one.as_py())))
-                at = np.unique(np.linspace(0, len(bag) - 1, min(len(bag), SAMPLE_PASSAGES)).astype(int))
-                bags.append(bag[at].astype(np.float64).tobytes())
+                bags.append(pooled(document_features(one.as_py())).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], names=["key", "label", "bag"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
@@ -213,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s
     found = sorted(found.collect())
     if len({r.label for r in found}) < 2:
         return None
-    bags = [np.frombuffer(bytes(r.bag)).reshape(-1, FEATURES) for r in found]
+    bags = [np.frombuffer(bytes(r.bag), np.float32).reshape(-1, FEATURES).astype(float) for r in found]
     return fit(bags, np.array([r.label for r in found], float), totals[1] / (totals[0] + totals[1]))
 
 

@@ -42,6 +42,19 @@ def test_passages_hold_every_word(monkeypatch):
     assert [f.tolist() for f in quality.document_features(text)] == whole and len(whole) == 13
 
 
+def test_learning_reads_every_passage():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 8, 15, 16, 17, 40, 1000):
+        bag = rng.normal(size=(n, quality.FEATURES))
+        got = quality.pooled(iter(bag), 8)
+        assert len(got) <= 16 and (n >= 16 or np.array_equal(got, bag))
+        run = 1
+        while -(-n // run) > len(got):
+            run *= 2
+        want = [bag[i : i + run].mean(axis=0) for i in range(0, n, run)]
+        assert np.allclose(got, want)
+
+
 def test_edges(spark):
     rows = [(1, None, 5), (2, "", 5), (3, "good words here", 5), (3, "good words here", 5), (None, "!!! ###", 5), (4, "w " * 300000, 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
