@@ -4,13 +4,15 @@ An index holds, for every document, the terms it is asked for with their impacts
 terms: how much a term can add to a score at most, and how much two terms add together at most in any one document. A
 document good in both is rarer than one good in either, so pair maxima are lower than sums of term maxima. Per query,
 terms are lined up by what they can add; those whose bound together stays below a known threshold can't bring a document
-into the result alone, and only documents with another term are scored. What bounds leave is scored exactly.
+into the result alone, and only documents with another term are scored. What bounds leave is scored exactly, block by
+block of documents: a task keeps the best of each item alone, so no pairs of items and documents are shuffled.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ FREQUENT = 1 / 64
 FIRST_LOOK = 2000
 # Cells of rows by frequent terms a task lays out at once.
 CELLS = 1 << 21
+# Terms of items, about, that are laid against all documents in one pass; more items take more passes.
+AT_ONCE = 500_000
 # Characters of terms, and of letters that are made lower case.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -54,12 +58,21 @@ def term_rows(table: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("row", F.monotonically_increasing_id()).select("key", "row", "size", F.inline("terms"))
 
 
+def _entries(ids: pa.Array, adds: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the block, place in `known`, adds) of the entries whose id is in the sorted `known`."""
+    row = np.repeat(np.arange(len(ids)), np.diff(ids.offsets.to_numpy()))
+    ids, adds = ids.flatten().to_numpy(), adds.flatten().to_numpy()
+    at = np.minimum(np.searchsorted(known, ids), max(len(known) - 1, 0))
+    some = known[at] == ids if len(known) else np.zeros(len(ids), bool)
+    return row[some], at[some], adds[some]
+
+
 def weight(n_docs: int, df: Column) -> Column:
     return F.floor(1000 * F.log((2 * F.lit(float(n_docs)) + 2) / (2 * df + 1))).cast("long")
 
 
 class Index:
-    """Rows of an index, each written once: `postings` (row, key, term, adds), and `terms` (term, df, most, is_frequent)."""
+    """Tables of an index, each written once: `rows` (row, key, ids, adds), a row per document, and `terms` (term, id, df, most, is_frequent)."""
 
     def __init__(self, docs: DataFrame, wanted: DataFrame, key: str, text: str):
         """Index every row of `docs` for the terms `wanted` (term)."""
@@ -67,13 +80,18 @@ class Index:
         found = staged(term_rows(docs, key, text).join(every, "term"), "found")
         n_docs, total = found.where("term = '' AND size > 0").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
         found = found.where("term <> ''")
-        df = staged(found.groupBy("term").agg(F.count("*").alias("df")), "df")
+        # Written with their numbers, so that these stay as they are.
+        df = staged(found.groupBy("term").agg(F.count("*").alias("df")).withColumn("id", F.monotonically_increasing_id()), "df")
         m = F.expr(f"75 + (25 * size * {n_docs}L) div {max(total, 1)}L")
         adds = F.col("w") * F.expr("(1000000000L * n) div (1000 * n + 12 * m)")
-        weights = df.select("term", weight(n_docs, F.col("df")).alias("w"))
-        self.postings = staged(found.withColumn("m", m).join(weights, "term").select("row", "key", "term", adds.alias("adds")), "postings")
-        most = self.postings.groupBy("term").agg(F.max("adds").alias("most"))
-        self.terms = staged(most.join(df, "term").select("term", "df", "most", (F.col("df") >= FREQUENT * n_docs).alias("is_frequent")), "terms")
+        weights = df.select("term", "id", weight(n_docs, F.col("df")).alias("w"))
+        entry = F.struct("id", adds.alias("adds"))
+        # A document's terms are at most those wanted, however long its text.
+        rows = found.withColumn("m", m).join(weights, "term").groupBy("row", "key").agg(F.collect_list(entry).alias("entries"))
+        self.rows = staged(rows.select("row", "key", F.col("entries.id").alias("ids"), F.col("entries.adds").alias("adds")), "rows")
+        each = self.rows.select(F.inline(F.arrays_zip("ids", "adds"))).toDF("id", "adds")
+        most = each.groupBy("id").agg(F.max("adds").alias("most"))
+        self.terms = staged(most.join(df, "id").select("term", "id", "df", "most", (F.col("df") >= FREQUENT * n_docs).alias("is_frequent")), "terms")
 
     def pair_lists(self, pairs: DataFrame) -> DataFrame:
         """(a, b, both, joint) of pairs (a, b), a < b: documents with both terms, and the most the two add in any one of them.
@@ -82,25 +100,23 @@ class Index:
         """
         frequent = self.terms.where("is_frequent")
         size = frequent.count()
-        frequent = frequent.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("nr"))
+        frequent = frequent.select("term", "id", (F.row_number().over(Window.orderBy("id")) - 1).alias("nr"))
         for side in ("a", "b"):
             pairs = pairs.join(frequent.select(F.col("nr").alias(f"nr_{side}"), F.col("term").alias(side)), side)
         # At most half the square of the number of frequent terms.
         wanted = pairs.select("nr_a", "nr_b").distinct().groupBy("nr_a").agg(F.collect_list("nr_b").alias("nr_b"))
         partners = {r.nr_a: np.array(sorted(r.nr_b)) for r in wanted.collect()}
-        of_row = self.postings.join(frequent, "term").groupBy("row").agg(F.collect_list("nr").alias("nrs"), F.collect_list("adds").alias("adds"))
+        ids = np.array(sorted(r.id for r in frequent.select("id").collect()), np.int64)
 
         def joint(batches):
             for batch in batches:
                 at_once = max(1, CELLS // max(size, 1))
                 for start in range(0, batch.num_rows, at_once):
                     part = batch.slice(start, at_once)
-                    nrs, adds = part.column(0), part.column(1)
-                    row = np.repeat(np.arange(part.num_rows), np.diff(nrs.offsets.to_numpy()))
+                    row, at, adds = _entries(part.column(0), part.column(1), ids)
                     table = np.zeros((part.num_rows, size), np.int64)
                     present = np.zeros((part.num_rows, size), bool)
-                    at = nrs.flatten().to_numpy()
-                    table[row, at] = adds.flatten().to_numpy()
+                    table[row, at] = adds
                     present[row, at] = True
                     for a in np.unique(at):
                         if a not in partners:
@@ -113,7 +129,9 @@ class Index:
                         columns = [np.full(len(found), a), others[found], both[found], sums.max(axis=0)[found]]
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["nr_a", "nr_b", "both", "joint"])
 
-        lists = of_row.select("nrs", "adds").mapInArrow(joint, "nr_a long, nr_b long, both long, joint long")
+        if not partners:
+            return pairs.select("a", "b", F.lit(0).cast("long").alias("both"), F.lit(0).cast("long").alias("joint"))
+        lists = self.rows.select("ids", "adds").mapInArrow(joint, "nr_a long, nr_b long, both long, joint long")
         lists = lists.groupBy("nr_a", "nr_b").agg(F.sum("both").alias("both"), F.max("joint").alias("joint"))
         for side in ("a", "b"):
             lists = lists.join(frequent.select(F.col("nr").alias(f"nr_{side}"), F.col("term").alias(side)), f"nr_{side}")
@@ -126,24 +144,97 @@ def _ranked(scores: DataFrame) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP)
 
 
-def _scores(asked: DataFrame, used: DataFrame, postings: DataFrame, keep: Column | None = None) -> DataFrame:
-    """Exact scores (item, row, key, score) of documents with terms `used` (item, term, times), of those that `keep` leaves.
+def _candidates(lists, size: int, line, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, scores) of the rows of a block that have a term marked as used and reach `least`.
+
+    The other terms are looked up from the one with the highest bound down, and before each the rows that can't reach
+    `least` with all that is left go.
+    """
+    at, times, bound, used = line
+    part = np.zeros(size, np.int64)
+    for k in np.flatnonzero(used):
+        rows, adds = lists(at[k])
+        part[rows] += times[k] * adds
+    some = np.flatnonzero(part)
+    for k in np.flatnonzero(~used)[::-1]:
+        some = some[part[some] + bound[k] >= least]
+        if not len(some):
+            break
+        rows, adds = lists(at[k])
+        if 8 * len(some) < len(rows):
+            place = np.minimum(np.searchsorted(rows, some), len(rows) - 1)
+            hit = rows[place] == some
+            part[some[hit]] += times[k] * adds[place[hit]]
+        else:  # what rows that are out gain is never read
+            part[rows] += times[k] * adds
+    some = some[part[some] >= least]
+    return some, part[some]
+
+
+def _scorer(chosen, look_first: bool):
+    """A function over blocks of an index's rows: the TOP rows of each of the items `chosen` in the task, scored exactly."""
+    known = np.unique(np.array([t.id for c in chosen for t in c.line], np.int64))
+    lines = [
+        (
+            np.searchsorted(known, [t.id for t in c.line]),
+            np.array([t.times for t in c.line], np.int64),
+            np.array([t.bound for t in c.line], np.int64),
+            np.array([t.is_first for t in c.line], bool),
+        )
+        for c in chosen
+    ]
 
-    `asked` has all terms of the items, with the terms in `used` marked: what these add is known when documents are
-    found, and only the other terms of the items are looked up for them. `keep` sees it as `part`.
+    def run(batches):
+        least = [max(c.least, 1) for c in chosen]
+        best = [np.zeros((4, 0), np.int64) for _ in chosen]
+        for batch in batches:
+            row, at, adds = _entries(batch.column(2), batch.column(3), known)
+            order = np.argsort(at, kind="stable")
+            row, adds = row[order], adds[order]
+            starts = np.searchsorted(at[order], np.arange(len(known) + 1))
+            lists = lambda k: (row[starts[k] : starts[k + 1]], adds[starts[k] : starts[k + 1]])  # noqa: B023, E731
+            has_key = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            keys, rows = batch.column(1).fill_null(0).to_numpy(), batch.column(0).to_numpy()
+            for i, (places, times, bound, is_first) in enumerate(lines):
+                used = is_first
+                if not look_first:
+                    # Terms up to the last one whose bound is below the threshold bring no row into the result alone.
+                    low = np.flatnonzero(bound < least[i])
+                    used = np.arange(len(bound)) > (low[-1] if len(low) else -1)
+                some, scores = _candidates(lists, batch.num_rows, (places, times, bound, used), least[i])
+                if not len(some):
+                    continue
+                found = np.hstack([best[i], [scores, has_key[some].astype(np.int64), keys[some], rows[some]]])
+                best[i] = found[:, np.lexsort((found[3], found[2], found[1], -found[0]))[:TOP]]
+                if best[i].shape[1] == TOP:
+                    least[i] = max(least[i], int(best[i][0, -1]))
+        item = np.repeat(np.array([c.item for c in chosen], np.int64), [b.shape[1] for b in best])
+        score, has_key, keys, rows = np.hstack(best) if best else np.zeros((4, 0), np.int64)
+        columns = [pa.array(item), pa.array(rows), pa.array(keys, mask=has_key == 0), pa.array(score)]
+        yield pa.RecordBatch.from_arrays(columns, names=["item", "row", "key", "score"])
+
+    return run
+
+
+def _best(rows: DataFrame, lined: DataFrame, look_first: bool) -> DataFrame:
+    """(item, rank, row, key, score) of the TOP rows of every item of `lined` (item, id, times, nr, bound, is_first, least).
+
+    Items are dealt by a hash into parts of about AT_ONCE terms, each laid against all rows in a pass of its own. With
+    `look_first`, only rows that have a term marked `is_first` are scored.
     """
-    found = postings.join(used, "term").groupBy("item", "row", "key").agg(F.sum(F.col("times") * F.col("adds")).alias("part"))
-    if keep is not None:
-        found = found.join(asked.groupBy("item", "least", "rest").count(), "item").where(keep)
-    found = staged(found.select("item", "row", "key", "part"), "found")
-    other = found.join(asked.where("NOT is_used").select("item", "term", "times"), "item").select("item", "row", "term", "times")
-    more = other.join(postings.select("row", "key", "term", "adds"), ["row", "term"])
-    every = found.union(more.select("item", "row", "key", F.col("times") * F.col("adds")))
-    return every.groupBy("item", "row", "key").agg(F.sum("part").alias("score")).where("score > 0")
+    parts = max(1, -(-lined.count() // AT_ONCE))
+    entry = F.struct("nr", "id", "times", "bound", "is_first")
+    by_item = lined.groupBy("item").agg(F.sort_array(F.collect_list(entry)).alias("line"), F.max("least").alias("least"))
+    schema = "item long, row long, key long, score long"
+    found = []
+    for k in range(parts):
+        chosen = by_item.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k).collect()
+        found.append(rows.select("row", "key", "ids", "adds").mapInArrow(_scorer(chosen, look_first), schema))
+    return _ranked(reduce(DataFrame.union, found))
 
 
 def bounds(asked: DataFrame, index: Index) -> DataFrame:
-    """(item, term, times, df, nr, bound): terms from the one that can add least, and what all up to `nr` add at most together.
+    """(item, term, id, times, df, nr, bound): terms from the one that can add least, and what all up to `nr` add at most together.
 
     The sum of the terms' own maxima is a bound. Over all pairs of k terms, every term is counted k - 1 times; so what
     the joint maxima of pairs are lower than sums of two, added up and divided by k - 1, comes off. Where fewer terms have
@@ -167,6 +258,7 @@ def bounds(asked: DataFrame, index: Index) -> DataFrame:
     summed = lined.join(offs, ["item", "nr"], "left").select(
         "item",
         "term",
+        "id",
         "times",
         "df",
         "nr",
@@ -182,7 +274,7 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     A NULL or empty text has no terms, counts nowhere and is never found; an item without terms, or whose terms no
     document holds, has no rows, and neither has one without a number. Rows that repeat a key are documents of their own,
     and a NULL key comes before others; rows that repeat an item are one item with the terms of all. Very long texts are
-    counted in tasks and joined term by term. Other columns are ignored, and an empty table gives an empty result.
+    counted in tasks, and the terms that items ask for go on. Other columns are ignored, and an empty table gives an empty result.
     """
     asked = term_rows(items.where(F.col(item).isNotNull()), item, "text").where("term <> ''")
     asked = staged(asked.groupBy(F.col("key").alias("item"), "term").agg(F.sum("n").alias("times")), "asked")
@@ -191,20 +283,12 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
 
     # A first threshold: exact scores of documents with an item's rarest terms, enough of them to fill its result.
     rarest = Window.partitionBy("item").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0)
-    look = lined.withColumn("upto", F.sum("df").over(rarest)).withColumn("is_used", F.expr(f"upto - df < {TOP} OR upto <= {FIRST_LOOK}"))
-    look = staged(look, "look")
-    first = _ranked(_scores(look, look.where("is_used").select("item", "term", "times"), index.postings))
+    look = lined.withColumn("upto", F.sum("df").over(rarest)).withColumn("is_first", F.expr(f"upto - df < {TOP} OR upto <= {FIRST_LOOK}"))
+    look = staged(look.withColumn("least", F.lit(1).cast("long")), "look")
+    first = _best(index.rows, look, True)
     least = first.where(F.col("rank") == TOP).select("item", F.col("score").alias("least"))
-    lined = staged(lined.join(least, "item", "left").withColumn("least", F.coalesce("least", F.lit(1))), "thresholds")
-
-    # Terms up to the last one whose bound is below the threshold can't bring a document into the result.
-    low = F.col("bound") < F.col("least")
-    cut = lined.groupBy("item").agg(
-        F.coalesce(F.max(F.when(low, F.col("nr"))), F.lit(0)).alias("last"),
-        F.coalesce(F.max_by("bound", F.when(low, F.col("nr"))), F.lit(0)).alias("rest"),
-    )
-    lined = staged(lined.join(cut, "item").withColumn("is_used", F.col("nr") > F.col("last")), "cut")
-    best = _ranked(_scores(lined, lined.where("is_used").select("item", "term", "times"), index.postings, F.expr("part + rest >= least")))
+    lined = staged(look.drop("least").join(least, "item", "left").withColumn("least", F.coalesce("least", F.lit(1))), "thresholds")
+    best = _best(index.rows, lined, False)
     return best.select(F.col("item").alias(item), "rank", F.col("key").alias(key), "score")
 
 

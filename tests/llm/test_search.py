@@ -68,8 +68,9 @@ def test_bounds_hold_and_pairs_tighten_them(spark):
     index = search.Index(table, asked, "doc_id", "text")
     most = {r.term: r.most for r in index.terms.collect()}
     adds = {}
-    for r in index.postings.collect():
-        adds.setdefault(r.row, {})[r.term] = r.adds
+    name = {r.id: r.term for r in index.terms.collect()}
+    for r in index.rows.collect():
+        adds[r.row] = {name[i]: a for i, a in zip(r.ids, r.adds)}
     lines = {}
     for r in search.bounds(asked, index).collect():
         lines.setdefault(r.item, []).append(r)
@@ -84,6 +85,18 @@ def test_bounds_hold_and_pairs_tighten_them(spark):
     assert tighter > len(lines)
 
 
+def test_items_in_several_passes_and_docs_in_several_blocks(spark, monkeypatch):
+    docs, items = _some(random.Random(7), 600)
+    docs += [(None, "w1 w2 w3 w4"), (None, "w1 w2 w3 w4"), (3, "w1 w2 w3 w4")]
+    monkeypatch.setattr(search, "AT_ONCE", 20)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        assert got(spark, docs, items) == plain(docs, items)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_edges(spark):
     assert got(spark, [], []) == got(spark, [], [(1, "a b")]) == got(spark, [(1, "a b")], []) == []
     assert got(spark, [(1, "a"), (2, "a"), (3, None)], [(1, "a a")]) == plain([(1, "a"), (2, "a"), (3, None)], [(1, "a a")])
