@@ -27,6 +27,7 @@ from sluiceway.plans.transforms import (
     Transform,
     base_consumers,
     consumers,
+    equal_results,
     load_transforms,
     run_transforms,
 )
@@ -267,7 +268,7 @@ def run_job(
 
     ``base`` replaces the extract stage with a frame at hand.  Only transforms a
     load asks for are planned, and one with several consumers is shared by them
-    as its ``share`` says, and so is the base.  Tables shared through the folder
+    as its ``share`` says, and so is the base.  Transforms with equal plans are one.  Tables shared through the folder
     stay until the result is released, or the run fails.  ``count_source`` counts the source, which is a scan of
     its own for anything but parquet.  The log is appended to ``log_path`` even
     when the run fails.
@@ -283,7 +284,6 @@ def run_job(
         transforms = load_transforms(spark, job.modules("transform"), sql_folder)
         asked = _check_loads(loads, transforms, job)
         only = set(asked) if loads else None
-        uses = consumers(transforms, asked, only)
 
         def shared(df: DataFrame, share: str, label: str) -> tuple[DataFrame, int | None]:
             if share == "table":
@@ -298,8 +298,10 @@ def run_job(
             if share not in SHARING:
                 raise ValueError(f"the base is shared as {share!r}, know {SHARING}")
             base, source = read_base(spark, job, methods)
-            if loads and share != "none" and base_consumers(transforms, list(map(_asked_by, loads)), only) > 1:
-                base, base_rows = shared(base, share, "base")
+        same = equal_results(base, transforms, only) if loads and len(transforms) > 1 else {}
+        uses = consumers(transforms, asked, only, same)
+        if source != "frame" and loads and share != "none" and base_consumers(transforms, list(map(_asked_by, loads)), only, same) > 1:
+            base, base_rows = shared(base, share, "base")
         if count_source and base_rows is None:
             base_rows = base.count()
         run.note("extract", source, base_rows)
@@ -312,12 +314,13 @@ def run_job(
             df, counted[transform.id] = shared(df, transform.share, transform.view)
             return df
 
-        frames = run_transforms(base, transforms, only, settle)
+        frames = run_transforms(base, transforms, only, settle, same, job.parallelism())
         work = [(frames.get(_asked_by(load), base), load) for load in loads]
         if work:
             _run_loads(run, work)
         for ident in frames:
-            rows = counted[ident] if ident in counted else _rows_of(run, frames[ident])
+            first = same.get(ident, ident)
+            rows = counted[first] if first in counted else _rows_of(run, frames[ident])
             run.note("transform", f"tx_{ident}", rows)
         return JobResult(run.id, base, frames, run.entries, paths)
     except Exception as error:

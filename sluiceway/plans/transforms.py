@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 import threading
 import warnings
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from graphlib import CycleError, TopologicalSorter
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -159,20 +161,48 @@ def _views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[Non
                     df.createOrReplaceTempView(name)
 
 
+def equal_results(base: DataFrame, transforms: Sequence[Transform], only: Collection[str] | None = None) -> dict[str, str]:
+    """Transforms whose result is that of an earlier one, however their SQL is written, with that one's id.
+
+    Spark compares the resolved plans; column names, types and the way to share must be equal too. Plans that draw
+    random values differ from each other.
+    """
+    share = {t.id: t.share for t in transforms}
+    results = run_transforms(base, transforms, only)
+    classes: dict[object, list[str]] = defaultdict(list)
+    same = {}
+    for transform in needed_in_order(transforms, only):
+        df = results[transform.id]
+        alike = classes[(df.semanticHash(), share[transform.id], df.schema.json())]
+        first = next((i for i in alike if results[i].sameSemantics(df)), None)
+        if first is None:
+            alike.append(transform.id)
+        else:
+            same[transform.id] = first
+    return same
+
+
 def consumers(
-    transforms: Sequence[Transform], asked: Sequence[str], only: Collection[str] | None = None
+    transforms: Sequence[Transform],
+    asked: Sequence[str],
+    only: Collection[str] | None = None,
+    same: Mapping[str, str] | None = None,
 ) -> Counter[str]:
-    """How many loads and planned transforms read each result."""
-    planned = needed_in_order(transforms, only)
+    """How many loads and planned transforms read each result; equal ones are one result."""
+    planned, same = needed_in_order(transforms, only), same or {}
     ids = {t.id for t in planned}
-    return Counter(asked) + Counter(read for t in planned for read in t.reads(ids))
+    reads = [{same.get(i, i) for i in t.reads(ids)} for t in planned if t.id not in same]
+    return Counter(same.get(i, i) for i in asked) + Counter(i for read in reads for i in read)
 
 
 def base_consumers(
-    transforms: Sequence[Transform], asked: Sequence[str], only: Collection[str] | None = None
+    transforms: Sequence[Transform],
+    asked: Sequence[str],
+    only: Collection[str] | None = None,
+    same: Mapping[str, str] | None = None,
 ) -> int:
-    """How many loads (those that ask for '') and planned transforms read the base."""
-    planned = needed_in_order(transforms, only)
+    """How many loads (those that ask for '') and planned transforms read the base; equal transforms are one."""
+    planned = [t for t in needed_in_order(transforms, only) if t.id not in (same or {})]
     return list(asked).count("") + sum(t.relations is None or BASE_VIEW in t.relations for t in planned)
 
 
@@ -181,20 +211,40 @@ def run_transforms(
     transforms: Sequence[Transform],
     only: Collection[str] | None = None,
     settle: Callable[[Transform, DataFrame], DataFrame] = lambda transform, df: df,
+    same: Mapping[str, str] | None = None,
+    at_once: int = 1,
 ) -> dict[str, DataFrame]:
     """Lazy results by id, in the order of the job.
 
     Nothing is computed here: Spark sees each result together with the load that
     asks for it, and reads only the columns and rows that load needs.  ``settle``
-    may put a result on firmer ground before others build on it.
+    may put a result on firmer ground before others build on it; of results that
+    don't read each other, up to ``at_once`` are settled side by side.  Transforms
+    in ``same`` get the result of the one named there.
     """
-    spark = base.sparkSession
+    spark, same = base.sparkSession, same or {}
     results: dict[str, DataFrame] = {}
-    for transform in needed_in_order(transforms, only):
+    left = needed_in_order(transforms, only)
+    ids = {t.id for t in left}
+
+    def planned(transform: Transform) -> DataFrame:
         read = {RESULT_VIEW + ident: results[ident] for ident in transform.reads(results)}
         with _views(spark, {BASE_VIEW: base, **read}):
-            planned = spark.sql(transform.sql.replace(INPUT_TOKEN, BASE_VIEW))
-        results[transform.id] = settle(transform, planned)
+            return spark.sql(transform.sql.replace(INPUT_TOKEN, BASE_VIEW))
+
+    while left:
+        for transform in left:
+            if same.get(transform.id) in results:
+                results[transform.id] = results[same[transform.id]]
+        ready = [t for t in left if t.id not in same and t.reads(ids) <= results.keys()]
+        work = [(t, planned(t)) for t in ready]
+        if at_once > 1 and len(work) > 1:
+            with ThreadPoolExecutor(min(at_once, len(work))) as pool:
+                settled = list(pool.map(inheritable_thread_target(spark)(lambda one: settle(*one)), work))
+        else:
+            settled = [settle(*one) for one in work]
+        results.update(zip([t.id for t in ready], settled))
+        left = [t for t in left if t.id not in results]
     return {t.id: results[t.id] for t in transforms if t.id in results}
 
 

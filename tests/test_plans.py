@@ -199,7 +199,7 @@ def test_sharing_of_a_result_with_several_consumers(spark, folder, share):
         [
             {"transform_id": "r", "transform_sql": "SELECT id, uuid() AS u FROM source_table", "share": share},
             {"transform_id": "s", "transform_sql": "SELECT * FROM tx_r"},
-            {"transform_id": "t", "transform_sql": "SELECT * FROM tx_r"},
+            {"transform_id": "t", "transform_sql": "SELECT * FROM tx_r WHERE id >= 0"},
         ],
         [file_load(folder, "s", "s"), file_load(folder, "t", "t")],
     )
@@ -222,6 +222,57 @@ def keyed_source(spark, folder):
     return {"type": "file", "properties": props}
 
 
+def _counted_base(spark, n):
+    """A frame of n rows, and an accumulator of the rows that were read from it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    return spark.range(n).mapInPandas(count, "id long"), read
+
+
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_equal_transforms_are_computed_once(spark, folder, at_once):
+    base, read = _counted_base(spark, 40)
+    texts = {
+        "a": "SELECT id, id * 2 AS twice FROM source_table WHERE id > 9",
+        "b": "select x.id, x.id * 2 twice\nfrom {{SOURCE_INPUT}} x where x.id > 9",  # a, written otherwise
+        "c": "SELECT id, id * 2 AS other FROM source_table WHERE id > 9",  # another name
+        "d": "SELECT count(*) AS n FROM tx_a",
+        "e": "SELECT count(*) AS n FROM tx_b",  # equal to d, since b is a
+        "u": "SELECT uuid() AS u FROM tx_b",
+        "v": "SELECT uuid() AS u FROM tx_a",
+    }
+    process = job(
+        transforms=[{"transform_id": i, "transform_sql": t} for i, t in texts.items()],
+        loads=[file_load(folder, i, i) for i in texts if i != "c"],
+    )
+    shared = {"config_app": [{"name": "load", "properties": {"parallelism": at_once}}]}
+    result = run_job(spark, process, shared, batch_id="7", period="202510", base=base)
+    assert read.value == 40
+    assert {e.target: e.rows for e in result.entries if e.stage == "transform"} == {f"tx_{i}": r for i, r in zip("abdeuv", [30, 30, 1, 1, 30, 30])}
+    assert result.frames["a"] is result.frames["b"] and result.frames["d"] is result.frames["e"] and result.frames["u"] is not result.frames["v"]
+    assert [result.frames[i].first().n for i in "de"] == [30, 30]
+
+
+def test_independent_shared_results_are_filled_side_by_side(spark):
+    met = threading.Barrier(2, timeout=60)
+
+    def settle(transform, df):
+        if transform.id != "3":
+            met.wait()  # ends only if both are here at the same time
+        return df.persist()
+
+    texts = [Transform("1", "SELECT id FROM source_table"), Transform("2", "SELECT part FROM source_table"), Transform("3", "SELECT * FROM tx_1, tx_2")]
+    frames = run_transforms(rows(spark), texts, settle=settle, at_once=2)
+    assert list(frames) == ["1", "2", "3"] and frames["3"].count() == 100
+    for df in frames.values():
+        df.unpersist()
+
+
 @pytest.mark.parametrize("share", [None, "none"])
 def test_base_of_several_loads_is_read_once(spark, folder, share):
     loads = [file_load(folder, n) for n in "abc"]
