@@ -56,6 +56,37 @@ query(
 )(protected_orders)
 
 
+@query(
+    "job_equal_transforms",
+    """
+    WITH t AS (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS latest FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey)
+    SELECT 'first' AS load, * FROM t UNION ALL SELECT 'second', * FROM t UNION ALL SELECT 'many', * FROM t WHERE n > 5
+    """,
+)
+def job_equal_transforms(spark, sf_dir):
+    """Two transforms that say the same in other words are aggregated once, for two loads and a third transform."""
+    bucket = staging_folder(spark, "equal")
+    texts = {
+        "first": "SELECT o_custkey, count(*) AS n, max(o_orderdate) AS latest FROM {{SOURCE_INPUT}} "
+        "WHERE o_orderstatus <> 'P' GROUP BY o_custkey",
+        "second": "select o.o_custkey, count(*) n, max(o.o_orderdate) latest from source_table o "
+        "where o.o_orderstatus <> 'P' group by o.o_custkey",
+        "many": "SELECT * FROM tx_second WHERE n > 5",
+    }
+    job = {
+        "process_modules": [
+            {
+                "transform": [{"transform_id": i, "transform_sql": text} for i, text in texts.items()],
+                "load": [_file_load(bucket, i, i) for i in texts],
+            }
+        ]
+    }
+    result = run_job(spark, job, batch_id="1", period="202510", base=table(spark, sf_dir, "orders"))
+    assert result.frames["first"] is result.frames["second"]
+    frames = [read_parquet(spark, f"{bucket}/{i}").select(F.lit(i).alias("load"), "o_custkey", "n", "latest") for i in texts]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query(
     "job_fan_out",
     """
