@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm.shared import WORD, let, staged
+from sluiceway.llm.shared import WORD, free_name, let, staged
 
 # Lines of fewer words are only compared exactly: one edit of five words leaves a similarity of 0.8.
 LEAST_WORDS = 5
@@ -252,18 +252,19 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     document and keep the same lines. An empty table gives an empty result.
     """
     gone = staged(dropped_lines(docs, key, text), "gone")
-    gone = gone.withColumnsRenamed({"in": "_in", "of": "_of", "numbers": "_numbers"})
+    key_of, print_of, numbers = (free_name(name, docs) for name in ("_in", "_of", "_numbers"))
+    gone = gone.withColumnsRenamed({"in": key_of, "of": print_of, "numbers": numbers})
 
     def kept(lines: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_numbers"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(numbers))
         return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
     cut = let(lines_of(F.col(text).cast("string")), kept)
     # What is known per document grows with the documents, so it is never sent to every executor.
-    same = F.col(key).cast("long").eqNullSafe(F.col("_in")) & (_print(F.col(text).cast("string")) == F.col("_of"))
+    same = F.col(key).cast("long").eqNullSafe(F.col(key_of)) & (_print(F.col(text).cast("string")) == F.col(print_of))
     joined = docs.join(gone.hint("merge"), same, "left")
     return joined.withColumn(
-        text, F.when(F.col("_numbers").isNull() | F.col(text).isNull(), F.col(text)).otherwise(cut)
+        text, F.when(F.col(numbers).isNull() | F.col(text).isNull(), F.col(text)).otherwise(cut)
     ).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -23,6 +23,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """`name`, with as many underscores in front as make it none of the frame's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def let(value: Column, then) -> Column:
     """`then` of a value. Lambdas that use it many times find it computed, where a plain expression is computed each time."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
