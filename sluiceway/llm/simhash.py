@@ -57,10 +57,10 @@ def fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, fp long")
 
 
-def covering_masks(radius: int) -> list[int]:
-    """The masks as signed longs, one for every non-zero vector of radius + 1 bits."""
+def covering_masks(radius: int, bits: int = BITS) -> list[int]:
+    """The masks of the lowest `bits` positions as signed longs, one for every non-zero vector of radius + 1 bits."""
     size = 1 << (radius + 1)
-    vectors = [1 + (position * 7 + position // (size - 1)) % (size - 1) for position in range(BITS)]
+    vectors = [1 + (position * 7 + position // (size - 1)) % (size - 1) for position in range(bits)]
     masks = []
     for v in range(1, size):
         mask = sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2)
